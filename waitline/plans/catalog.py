@@ -343,3 +343,232 @@ def log_elapsed_hist(spark, d):
     t = _first_accepted(spark, d)
     x = t.where((F.col("elapsed") > 0) & (F.col("elapsed") < BOUND_HI))
     return profile.histogram(x, F.ln("elapsed"), HIST_BINS)
+
+
+# ---------------------------------------------------------------- text
+
+from ..functions import html as H  # noqa: E402
+from ..functions import text as T  # noqa: E402
+
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _duck_list(words) -> str:
+    return "[" + ", ".join(_sq(w) for w in words) + "]"
+
+
+_PART_TAGS = "('<' || p_brand || '><' || p_type || '>')"
+
+
+def _duck_split_ws(x: str) -> str:
+    return f"list_filter(string_split_regex({x}, '\\s+'), lambda t: t <> '')"
+
+
+def _duck_unnest_pos(keys: str, lst: str, src: str) -> str:
+    return f"""SELECT {keys}, unnest(generate_series(1, len(l))) AS pos, unnest(l) AS token
+               FROM (SELECT {keys}, {lst} AS l FROM {src})"""
+
+
+def _explode_pos(df: DataFrame, keys, arr: str, out: str = "token") -> DataFrame:
+    return df.select(*keys, F.posexplode(arr).alias("pos", out)).withColumn(
+        "pos", (F.col("pos") + 1).cast("bigint")
+    )
+
+
+@register(
+    "tags_clean",
+    f"SELECT p_partkey, regexp_replace({_PART_TAGS}, '<|>', ' ', 'g') AS tags FROM part",
+)
+def tags_clean(spark, d):
+    return proxies.part_tags(spark, d).select("p_partkey", T.clean_tags("tags").alias("tags"))
+
+
+@register(
+    "tag_baskets",
+    _duck_unnest_pos(
+        "p_partkey", _duck_split_ws(f"regexp_replace({_PART_TAGS}, '<|>', ' ', 'g')"), "part"
+    ),
+)
+def tag_baskets(spark, d):
+    p = proxies.part_tags(spark, d).select(
+        "p_partkey", T.split_whitespace(T.clean_tags("tags")).alias("toks")
+    )
+    return _explode_pos(p, ["p_partkey"], "toks")
+
+
+_WC = T.WORD_CHAR_CLASS
+
+
+@register(
+    "tokens_tags",
+    _duck_unnest_pos(
+        "p_partkey",
+        f"""list_filter(list_transform({_duck_split_ws(f"lower(regexp_replace({_PART_TAGS}, '<|>', ' ', 'g'))")},
+                lambda p: regexp_replace(p, '^[^{_WC}]+|[^{_WC}]+$', '', 'g')), lambda p: p <> '')""",
+        "part",
+    ),
+)
+def tokens_tags(spark, d):
+    p = proxies.part_tags(spark, d).select(
+        "p_partkey", T.tag_tokens(T.clean_tags("tags")).alias("toks")
+    )
+    return _explode_pos(p, ["p_partkey"], "toks")
+
+
+def _duck_words_nostop(text: str) -> str:
+    return (
+        f"list_filter(regexp_extract_all(lower({text}), '{T.WORD_PATTERN}'), "
+        f"lambda t: NOT list_contains({_duck_list(T.english_stop_words())}, t))"
+    )
+
+
+def _words_nostop(df: DataFrame, text: str = "text") -> DataFrame:
+    w = df.withColumn("_w", T.word_tokens(text))
+    return T.remove_stop_words(w, "_w", "_ws").drop("_w")
+
+
+@register("tokens_words", _duck_unnest_pos("doc_id", _duck_words_nostop("text"), "documents"))
+def tokens_words(spark, d):
+    docs = proxies.table(spark, d, "documents").select("doc_id", "text")
+    return _explode_pos(_words_nostop(docs), ["doc_id"], "_ws")
+
+
+def _ngram_sql(n_max: int) -> str:
+    grams = ["l0"] + [
+        f"[array_to_string(l0[i:i + {n - 1}], ' ') for i in range(1, len(l0) - {n - 2})]"
+        for n in range(2, n_max + 1)
+    ]
+    cat = "list_concat(" + ", ".join(grams) + ")" if len(grams) > 1 else grams[0]
+    return f"""SELECT conv_id, turn, unnest(generate_series(1, len(g))) AS pos, unnest(g) AS gram
+        FROM (SELECT conv_id, turn, {cat} AS g
+              FROM (SELECT conv_id, turn, {_duck_words_nostop('text')} AS l0 FROM conversations))"""
+
+
+@register("ngrams", _ngram_sql(3))
+def ngrams(spark, d):
+    c = proxies.table(spark, d, "conversations").select("conv_id", "turn", "text")
+    g = _words_nostop(c).select("conv_id", "turn", T.ngrams("_ws", 1, 3).alias("_g"))
+    return _explode_pos(g, ["conv_id", "turn"], "_g", out="gram")
+
+
+def _duck_rules(col: str) -> str:
+    sel = []
+    for suffix, repl in T.NOUN_SUFFIX_RULES:
+        sel.append(
+            f"SELECT {col} AS form, substr({col}, 1, length({col}) - {len(suffix)}) || {_sq(repl)} AS c "
+            f"FROM vocab WHERE suffix({col}, {_sq(suffix)}) AND length({col}) > {len(suffix)}"
+        )
+    return " UNION ALL ".join(sel)
+
+
+@register(
+    "lemma_terms",
+    f"""WITH tok AS (SELECT unnest(regexp_extract_all(lower(text), '{T.WORD_OR_PUNCT}')) AS form FROM documents),
+        vocab AS (SELECT DISTINCT form FROM tok),
+        cand AS ({_duck_rules('form')}),
+        ok AS (SELECT cand.form, cand.c FROM cand WHERE cand.c IN (SELECT form FROM vocab)
+               UNION ALL SELECT form, form FROM vocab),
+        best AS (SELECT form, c, row_number() OVER (PARTITION BY form ORDER BY length(c), c) AS rn FROM ok)
+        SELECT b.form, b.c AS lemma, n.n FROM best b
+        JOIN (SELECT form, count(*) AS n FROM tok GROUP BY form) n ON n.form = b.form
+        WHERE b.rn = 1""",
+)
+def lemma_terms(spark, d):
+    docs = proxies.table(spark, d, "documents").select("doc_id", "text")
+    tok = docs.select(
+        F.explode(T.word_tokens("text", T.WORD_OR_PUNCT)).alias("token")
+    )
+    table = T.lemma_table(tok)
+    counts = tok.groupBy(F.col("token").alias("form")).agg(F.count(F.lit(1)).alias("n"))
+    return table.join(counts, "form").select("form", "lemma", "n")
+
+
+# ---------------------------------------------------------------- HTML
+
+
+def _duck_element_text(html: str, tag: str, null_if_none: bool = False) -> str:
+    h = html
+    for pat in (H.COMMENTS, H.SCRIPTS, H.STYLES):
+        h = f"regexp_replace({h}, {_sq(pat)}, '', 'g')"
+    h = f"regexp_replace({h}, {_sq(H.start_pattern(tag))}, chr(2), 'g')"
+    h = f"regexp_replace({h}, {_sq(H.end_pattern(tag))}, chr(3), 'g')"
+    h = f"regexp_replace({h}, {_sq(H.ANY_TAG)}, '', 'g')"
+    dec = "split_part(p, chr(3), 1)"
+    for ent, ch in H.ENTITIES:
+        dec = f"replace({dec}, {_sq(ent)}, {_sq(ch)})"
+    lst = f"list_transform(string_split({h}, chr(2))[2:], lambda p: {dec})"
+    if null_if_none:
+        return f"(SELECT CASE WHEN len(x) > 0 THEN array_to_string(x, chr(10)) END FROM (SELECT {lst} AS x))"
+    return f"CASE WHEN {html} IS NOT NULL THEN array_to_string({lst}, chr(10)) END"
+
+
+@register(
+    "html_paragraphs",
+    f"SELECT page_id, {_duck_element_text('html', 'p')} AS paragraphs FROM pages",
+)
+def html_paragraphs(spark, d):
+    p = proxies.table(spark, d, "pages")
+    return p.select("page_id", H.element_text("html", "p").alias("paragraphs"))
+
+
+_LIST_TAG = "li"
+
+
+def _duck_codes_cte(tag: str) -> str:
+    h = "html"
+    for pat in (H.COMMENTS, H.SCRIPTS, H.STYLES):
+        h = f"regexp_replace({h}, {_sq(pat)}, '', 'g')"
+    h = f"regexp_replace({h}, {_sq(H.start_pattern(tag))}, chr(2), 'g')"
+    h = f"regexp_replace({h}, {_sq(H.end_pattern(tag))}, chr(3), 'g')"
+    h = f"regexp_replace({h}, {_sq(H.ANY_TAG)}, '', 'g')"
+    dec = "split_part(p, chr(3), 1)"
+    for ent, ch in H.ENTITIES:
+        dec = f"replace({dec}, {_sq(ent)}, {_sq(ch)})"
+    return f"list_transform(string_split({h}, chr(2))[2:], lambda p: {dec})"
+
+
+@register(
+    "html_codes",
+    f"""SELECT page_id, CASE WHEN len(x) > 0 THEN array_to_string(x, chr(10)) END AS codes
+        FROM (SELECT page_id, {_duck_codes_cte(_LIST_TAG)} AS x FROM pages)""",
+)
+def html_codes(spark, d):
+    p = proxies.table(spark, d, "pages")
+    return p.select("page_id", H.element_text("html", _LIST_TAG, null_if_none=True).alias("codes"))
+
+
+@register(
+    "has_codes",
+    f"""SELECT page_id, CASE WHEN len(x) > 0 THEN 1 ELSE 0 END AS hascodes
+        FROM (SELECT page_id, {_duck_codes_cte(_LIST_TAG)} AS x FROM pages)""",
+)
+def has_codes(spark, d):
+    p = proxies.table(spark, d, "pages")
+    codes = p.select("page_id", H.element_text("html", _LIST_TAG, null_if_none=True).alias("codes"))
+    return codes.select("page_id", response.has_codes("codes").alias("hascodes"))
+
+
+def _duck_title() -> str:
+    t = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+    t = f"regexp_replace({t}, {_sq(H.ANY_TAG)}, '', 'g')"
+    for ent, ch in H.ENTITIES:
+        t = f"replace({t}, {_sq(ent)}, {_sq(ch)})"
+    return t
+
+
+@register(
+    "extract_posts",
+    f"""SELECT page_id AS id, {_duck_title()} AS title, {_duck_element_text('html', 'p')} AS paragraphs,
+               CAST(NULL AS VARCHAR) AS tags,
+               CASE WHEN len(x) > 0 THEN array_to_string(x, chr(10)) END AS codes,
+               CASE WHEN len(x) > 0 THEN 1 ELSE 0 END AS hascodes
+        FROM (SELECT *, {_duck_codes_cte('code')} AS x FROM pages) WHERE html IS NOT NULL""",
+)
+def extract_posts(spark, d):
+    from ..operators.extract import extract_posts as _extract
+
+    p = proxies.table(spark, d, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("body"))
+    good, _bad = _extract(p, body="body", tags=None, title=None)
+    return good.select("id", "title", "paragraphs", "tags", "codes", "hascodes")
