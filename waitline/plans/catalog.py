@@ -572,3 +572,307 @@ def extract_posts(spark, d):
     p = proxies.table(spark, d, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("body"))
     good, _bad = _extract(p, body="body", tags=None, title=None)
     return good.select("id", "title", "paragraphs", "tags", "codes", "hascodes")
+
+
+# ---------------------------------------------------------------- features
+
+from . import features as FE  # noqa: E402
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import itemsets as IS  # noqa: E402
+from ..operators import sampling as SP  # noqa: E402
+
+MIN_DF = 2
+MAX_DF = 0.6
+UNION_WEIGHT = 0.33
+
+
+def _duck_tfidf(src: str, toks: str, min_df, max_df, key: str = "doc_id") -> str:
+    lo = f"{min_df}" if isinstance(min_df, int) else f"{min_df} * n.n"
+    hi = f"{max_df}" if isinstance(max_df, int) else f"{max_df} * n.n"
+    return f"""
+        docs AS (SELECT {key} AS doc, {toks} AS toks FROM {src}),
+        n AS (SELECT count(*) AS n FROM {src}),
+        tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(toks) AS term FROM docs) GROUP BY doc, term),
+        dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        v AS (SELECT term, df FROM dfq, n WHERE df >= {lo} AND df <= {hi}),
+        w AS (SELECT tf.doc, tf.term, tf.tf * (ln((1.0 + n.n) / (1.0 + v.df)) + 1) AS weight
+              FROM tf JOIN v ON v.term = tf.term, n),
+        wn AS (SELECT doc, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc)) AS weight FROM w)"""
+
+
+_DOC_WORDS = f"regexp_extract_all(lower(text), '{T.WORD_PATTERN}')"
+
+
+@register(
+    "tfidf_weights",
+    f"WITH {_duck_tfidf('documents', _DOC_WORDS, MIN_DF, MAX_DF)} "
+    "SELECT doc AS doc_id, term, round(weight, 4) AS weight FROM wn",
+)
+def tfidf_weights(spark, d):
+    docs = proxies.table(spark, d, "documents").select("doc_id", "text")
+    w = FE.tfidf_long(docs, "doc_id", T.word_tokens("text"), MIN_DF, MAX_DF)
+    return w.select(F.col("doc").alias("doc_id"), "term", F.round("weight", 4).alias("weight"))
+
+
+@register(
+    "df_filtered_vocab",
+    f"WITH {_duck_tfidf('documents', _DOC_WORDS, MIN_DF, MAX_DF)} SELECT term, df FROM v",
+)
+def df_filtered_vocab(spark, d):
+    docs = proxies.table(spark, d, "documents").select("doc_id", "text")
+    return FE.filtered_vocabulary(docs, "doc_id", T.word_tokens("text"), MIN_DF, MAX_DF)
+
+
+_PART_TAG_TOKENS = f"""list_filter(list_transform({_duck_split_ws(f"lower(regexp_replace({_PART_TAGS}, '<|>', ' ', 'g'))")},
+                lambda p: regexp_replace(p, '^[^{_WC}]+|[^{_WC}]+$', '', 'g')), lambda p: p <> '')"""
+
+
+@register(
+    "weighted_union",
+    f"""WITH a AS (WITH {_duck_tfidf('part', f"regexp_extract_all(lower(p_name), '{T.WORD_PATTERN}')", 1, 1.0, 'p_partkey')}
+                   SELECT doc, 'name' AS block, term, weight FROM wn),
+             b AS (WITH {_duck_tfidf('part', _PART_TAG_TOKENS, 1, 1.0, 'p_partkey')}
+                   SELECT doc, 'tags' AS block, term, weight FROM wn)
+        SELECT doc AS p_partkey, block, term, round(weight * {UNION_WEIGHT}, 6) AS weight
+        FROM (SELECT * FROM a UNION ALL SELECT * FROM b)""",
+)
+def weighted_union(spark, d):
+    parts = proxies.part_tags(spark, d).join(
+        proxies.table(spark, d, "part").select("p_partkey", "p_name"), "p_partkey"
+    )
+    name = FE.tfidf_long(parts, "p_partkey", T.word_tokens("p_name"), 1, 1.0)
+    tags = FE.tfidf_long(parts, "p_partkey", T.tag_tokens(T.clean_tags("tags")), 1, 1.0)
+    u = FE.weighted_union_long({"name": name, "tags": tags}, {"name": UNION_WEIGHT, "tags": UNION_WEIGHT})
+    return u.select(F.col("doc").alias("p_partkey"), "block", "term", F.round("weight", 6).alias("weight"))
+
+
+@register(
+    "l2_norm",
+    """SELECT vec_id, unnest(generate_series(1, len(embedding))) AS idx,
+              round(unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE)
+                 / sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))))), 6) AS value
+       FROM embeddings""",
+)
+def l2_norm(spark, d):
+    from pyspark.ml.feature import Normalizer
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    e = proxies.table(spark, d, "embeddings").select(
+        "vec_id", array_to_vector("embedding").alias("v")
+    )
+    n = Normalizer(inputCol="v", outputCol="nv", p=2.0).transform(e)
+    out = n.select("vec_id", F.posexplode(vector_to_array("nv")).alias("idx", "value"))
+    return out.select(
+        "vec_id", (F.col("idx") + 1).cast("bigint").alias("idx"), F.round("value", 6).alias("value")
+    )
+
+
+@register(
+    "class_weights",
+    """SELECT quality, count(*) AS n,
+              round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+       FROM labels GROUP BY quality""",
+)
+def class_weights(spark, d):
+    lab = proxies.table(spark, d, "labels")
+    w = FE.class_weights(lab, "quality")
+    return w.select("quality", "n", F.round("weight", 6).alias("weight"))
+
+
+# ---------------------------------------------------------------- item sets
+
+MIN_SUPPORT = 15
+
+
+@register(
+    "tag_itemsets",
+    f"""WITH b AS (SELECT DISTINCT l_orderkey AS k, p_brand AS it FROM lineitem JOIN part ON p_partkey = l_partkey),
+        s1 AS (SELECT it AS a, count(*) AS freq FROM b GROUP BY it HAVING count(*) >= {MIN_SUPPORT}),
+        p2 AS (SELECT x.it AS a, y.it AS b2, count(*) AS freq FROM b x JOIN b y ON x.k = y.k AND x.it < y.it
+               GROUP BY 1, 2 HAVING count(*) >= {MIN_SUPPORT}),
+        p3 AS (SELECT x.it AS a, y.it AS b2, z.it AS c, count(*) AS freq FROM b x
+               JOIN b y ON x.k = y.k AND x.it < y.it JOIN b z ON z.k = x.k AND y.it < z.it
+               GROUP BY 1, 2, 3 HAVING count(*) >= {MIN_SUPPORT})
+        SELECT a AS items, freq, 1 AS size FROM s1
+        UNION ALL SELECT a || ' ' || b2, freq, 2 FROM p2
+        UNION ALL SELECT a || ' ' || b2 || ' ' || c, freq, 3 FROM p3""",
+)
+def tag_itemsets(spark, d):
+    li = proxies.table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    part = proxies.table(spark, d, "part").select("p_partkey", "p_brand")
+    lines = li.join(part, li["l_partkey"] == part["p_partkey"])
+    b = IS.baskets(lines, "l_orderkey", F.col("p_brand"))
+    sets = IS.frequent_itemsets(b, MIN_SUPPORT)
+    return sets.where(F.col("size") <= 3).select(
+        F.array_join("items", " ").alias("items"), "freq", "size"
+    )
+
+
+# ---------------------------------------------------------------- samples and splits
+
+SAMPLE_N = 100
+SEED = 42
+TEST_SIZE = 0.33
+N_FOLDS = 3
+
+
+def _duck_hash8(key: str, seed: int) -> str:
+    return f"substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8)"
+
+
+@register(
+    "sample_n",
+    f"""SELECT o_orderkey AS id, o_orderdate AS creationdate FROM orders
+        ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':{SEED}'), o_orderkey LIMIT {SAMPLE_N}""",
+)
+def sample_n(spark, d):
+    q = proxies.questions(spark, d).select("id", "creationdate")
+    return profile.sample_n(q, "id", SAMPLE_N, SEED)
+
+
+@register(
+    "half_split",
+    f"""SELECT o_orderkey AS id, CASE WHEN {_duck_hash8('o_orderkey', SEED)} < '{SP.hex_threshold(0.5)}'
+               THEN 'train' ELSE 'test' END AS part FROM orders""",
+)
+def half_split(spark, d):
+    q = proxies.questions(spark, d).select("id")
+    train, test = SP.half_split(q, "id", SEED)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@register(
+    "train_test_split",
+    f"""SELECT doc_id, CASE WHEN {_duck_hash8('doc_id', SEED)} < '{SP.hex_threshold(TEST_SIZE)}'
+               THEN 1 ELSE 0 END AS is_test FROM documents JOIN labels USING (doc_id)""",
+)
+def train_test_split(spark, d):
+    docs = proxies.labelled_documents(spark, d).select("doc_id")
+    train, test = SP.train_test_split(docs, "doc_id", TEST_SIZE, SEED)
+    return train.withColumn("is_test", F.lit(0)).unionByName(test.withColumn("is_test", F.lit(1)))
+
+
+@register(
+    "stratified_folds",
+    f"""SELECT doc_id, quality, ntile({N_FOLDS}) OVER (PARTITION BY quality ORDER BY doc_id) AS fold
+        FROM documents JOIN labels USING (doc_id)""",
+)
+def stratified_folds(spark, d):
+    docs = proxies.labelled_documents(spark, d).select("doc_id", "quality")
+    f = SP.stratified_folds(docs, "quality", "doc_id", N_FOLDS)
+    return f.withColumn("fold", F.col("fold").cast("bigint"))
+
+
+# ---------------------------------------------------------------- evaluation
+
+PRED_MIN_CHARS = 1500
+
+
+def _scored(spark, d) -> DataFrame:
+    docs = proxies.labelled_documents(spark, d)
+    return docs.select(
+        "doc_id",
+        F.col("quality").alias("label"),
+        F.col("n_chars").cast("double").alias("score"),
+        (F.col("n_chars") >= PRED_MIN_CHARS).cast("int").alias("prediction"),
+    )
+
+
+def _duck_report(pred_sql: str) -> str:
+    return f"""WITH p AS ({pred_sql}),
+        a AS (SELECT label AS class, count(*) AS support FROM p GROUP BY 1),
+        pp AS (SELECT prediction AS class, count(*) AS pp FROM p GROUP BY 1),
+        tp AS (SELECT label AS class, count(*) AS tp FROM p WHERE label = prediction GROUP BY 1),
+        j AS (SELECT coalesce(a.class, pp.class) AS class, coalesce(support, 0) AS support,
+                     coalesce(pp.pp, 0) AS pp FROM a FULL OUTER JOIN pp ON a.class = pp.class),
+        m AS (SELECT j.class, j.support,
+                     CASE WHEN j.pp > 0 THEN coalesce(tp.tp, 0) / j.pp ELSE 0.0 END AS precision,
+                     CASE WHEN j.support > 0 THEN coalesce(tp.tp, 0) / j.support ELSE 0.0 END AS recall
+              FROM j LEFT JOIN tp ON tp.class = j.class)
+        SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+               round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6) AS f1,
+               support
+        FROM m"""
+
+
+def _round_report(df: DataFrame) -> DataFrame:
+    return df.select(
+        "class",
+        F.round("precision", 6).alias("precision"),
+        F.round("recall", 6).alias("recall"),
+        F.round("f1", 6).alias("f1"),
+        "support",
+    )
+
+
+_SCORED_SQL = f"""SELECT doc_id, quality AS label, CAST(n_chars AS DOUBLE) AS score,
+                  CASE WHEN n_chars >= {PRED_MIN_CHARS} THEN 1 ELSE 0 END AS prediction
+                  FROM documents JOIN labels USING (doc_id)"""
+
+
+@register("classification_report", _duck_report(_SCORED_SQL))
+def classification_report(spark, d):
+    return _round_report(EV.classification_report(_scored(spark, d), "label", "prediction"))
+
+
+GUESS_SEED = 7
+
+
+@register(
+    "random_baseline",
+    _duck_report(
+        f"""SELECT quality AS label,
+                   CASE WHEN {_duck_hash8('doc_id', GUESS_SEED)} < printf('%08x', CAST(floor(
+                        (SELECT avg(CAST(quality AS DOUBLE)) FROM documents JOIN labels USING (doc_id)) * 4294967296) AS BIGINT))
+                   THEN 1 ELSE 0 END AS prediction
+            FROM documents JOIN labels USING (doc_id)"""
+    ),
+)
+def random_baseline(spark, d):
+    s = _scored(spark, d).drop("prediction")
+    g = EV.random_guess(s, "label", "doc_id", GUESS_SEED)
+    return _round_report(EV.classification_report(g, "label", "prediction"))
+
+
+@register(
+    "roc_curve",
+    f"""WITH c AS (SELECT score AS threshold, count(*) FILTER (WHERE label = 1) AS pos,
+                          count(*) FILTER (WHERE label <> 1) AS neg FROM ({_SCORED_SQL}) GROUP BY 1),
+        r AS (SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC) AS tps,
+                     sum(neg) OVER (ORDER BY threshold DESC) AS fps FROM c),
+        t AS (SELECT sum(pos) AS p, sum(neg) AS n FROM c)
+        SELECT threshold, CAST(tps AS BIGINT) AS tps, CAST(fps AS BIGINT) AS fps,
+               round(tps / t.p, 6) AS tpr, round(fps / t.n, 6) AS fpr FROM r, t""",
+)
+def roc_curve(spark, d):
+    r = EV.roc_curve(_scored(spark, d), "label", "score")
+    return r.select(
+        "threshold", "tps", "fps", F.round("tpr", 6).alias("tpr"), F.round("fpr", 6).alias("fpr")
+    )
+
+
+@register(
+    "roc_auc",
+    f"""WITH c AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos,
+                          count(*) FILTER (WHERE label <> 1) AS neg FROM ({_SCORED_SQL}) GROUP BY 1),
+        r AS (SELECT pos, neg, sum(pos) OVER (ORDER BY score DESC) - pos AS above FROM c)
+        SELECT round(sum(neg * (above + pos / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc,
+               CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM r""",
+)
+def roc_auc(spark, d):
+    a = EV.roc_auc(_scored(spark, d), "label", "score")
+    return a.select(F.round("auc", 6).alias("auc"), "n_pos", "n_neg")
+
+
+@register(
+    "mae",
+    f"""WITH t AS ({_FIRST_ACCEPTED}),
+        p AS (SELECT elapsed, avg(elapsed) OVER (PARTITION BY title) AS pred FROM t)
+        SELECT round(avg(abs(elapsed - pred)), 4) AS mae, count(*) AS n FROM p""",
+)
+def mae(spark, d):
+    t = _first_accepted(spark, d)
+    means = t.groupBy("title").agg(F.avg("elapsed").alias("prediction"))
+    p = t.join(means, "title")
+    m = EV.mean_absolute_error(p, "elapsed", "prediction")
+    return m.select(F.round("mae", 4).alias("mae"), "n")
