@@ -94,6 +94,25 @@ def remove_stop_words(
     return r.transform(df)
 
 
+def explode_array(df: DataFrame, keys, arr, out: str = "token", pos: str | None = None) -> DataFrame:
+    """Rows of a computed array, one per element (optionally with a 1-based
+    position).
+
+    Uses the ``_outer`` generators plus a null filter on the output: with a
+    plain ``explode`` Catalyst infers a ``size(arr) > 0`` filter *below* the
+    generator, which re-evaluates the whole array expression (regex, stop
+    words, n-grams) a second time per row.
+    """
+    a = F.col(arr) if isinstance(arr, str) else arr
+    if pos is None:
+        g = df.select(*keys, F.explode_outer(a).alias(out))
+    else:
+        g = df.select(*keys, F.posexplode_outer(a).alias(pos, out)).withColumn(
+            pos, (F.col(pos) + 1).cast("bigint")
+        )
+    return g.where(F.col(out).isNotNull())
+
+
 def _gram_at(t: Column, n: int):
     def at(i: Column) -> Column:
         return F.array_join(F.slice(t, i, n), " ")

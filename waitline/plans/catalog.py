@@ -372,9 +372,7 @@ def _duck_unnest_pos(keys: str, lst: str, src: str) -> str:
 
 
 def _explode_pos(df: DataFrame, keys, arr: str, out: str = "token") -> DataFrame:
-    return df.select(*keys, F.posexplode(arr).alias("pos", out)).withColumn(
-        "pos", (F.col("pos") + 1).cast("bigint")
-    )
+    return T.explode_array(df, keys, arr, out=out, pos="pos")
 
 
 @register(
@@ -477,9 +475,7 @@ def _duck_rules(col: str) -> str:
 )
 def lemma_terms(spark, d):
     docs = proxies.table(spark, d, "documents").select("doc_id", "text")
-    tok = docs.select(
-        F.explode(T.word_tokens("text", T.WORD_OR_PUNCT)).alias("token")
-    )
+    tok = T.explode_array(docs, [], T.word_tokens("text", T.WORD_OR_PUNCT))
     table = T.lemma_table(tok)
     counts = tok.groupBy(F.col("token").alias("form")).agg(F.count(F.lit(1)).alias("n"))
     return table.join(counts, "form").select("form", "lemma", "n")
