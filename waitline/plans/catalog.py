@@ -872,3 +872,122 @@ def mae(spark, d):
     p = t.join(means, "title")
     m = EV.mean_absolute_error(p, "elapsed", "prediction")
     return m.select(F.round("mae", 4).alias("mae"), "n")
+
+
+# ---------------------------------------------------------------- models (rows-only checks)
+
+from . import models as MD  # noqa: E402
+from . import tuning as TU  # noqa: E402
+
+SVD_K = 8
+
+
+def _labelled(spark, d) -> DataFrame:
+    docs = proxies.labelled_documents(spark, d)
+    return docs.select("doc_id", "text", F.col("quality").cast("double").alias("label"))
+
+
+def _split(df: DataFrame, key: str):
+    return SP.train_test_split(df, key, TEST_SIZE, SEED)
+
+
+def _text_block(min_df=MIN_DF, max_df=MAX_DF, ngram_max=1, weight=1.0):
+    return {"text": MD.TextBlock("text", "words", min_df, max_df, ngram_max, None, weight)}
+
+
+def _predict_classifier(spark, d, estimator, svd_k=None, weighted=False) -> DataFrame:
+    df = _labelled(spark, d)
+    if weighted:
+        df = FE.with_class_weight(df, "label", "weight")
+    train, test = _split(df, "doc_id")
+    spec = MD.ModelSpec("content", _text_block(), estimator, svd_k=svd_k)
+    model = spec.pipeline().fit(train)
+    out = model.transform(test)
+    cols = ["doc_id", "label", "prediction"]
+    if "probability" in out.columns:
+        return out.select(*cols, EV.positive_probability("probability").alias("score"))
+    from pyspark.ml.functions import vector_to_array
+
+    return out.select(*cols, vector_to_array("rawPrediction")[1].alias("score"))
+
+
+@register("svd_project")
+def svd_project(spark, d):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    e = proxies.table(spark, d, "embeddings").select(
+        "vec_id", array_to_vector("embedding").alias("v")
+    )
+    m = MD.TruncatedSvd("v", "p", SVD_K).fit(e)
+    return m.transform(e).select("vec_id", vector_to_array("p").alias("components"))
+
+
+@register("model_logistic")
+def model_logistic(spark, d):
+    n = _labelled(spark, d).count()
+    return _predict_classifier(spark, d, MD.logistic(1.0, n), svd_k=20)
+
+
+@register("model_svc")
+def model_svc(spark, d):
+    n = _labelled(spark, d).count()
+    return _predict_classifier(spark, d, MD.linear_svc(1.0, n, weight_col="weight"), weighted=True)
+
+
+@register("model_rf_class")
+def model_rf_class(spark, d):
+    return _predict_classifier(
+        spark, d, MD.forest_classifier(20, 10, weight_col="weight"), svd_k=20, weighted=True
+    )
+
+
+def _time_rows(spark, d) -> DataFrame:
+    t = _first_accepted(spark, d).select("id", "title", "elapsed")
+    b = prior_badges_inner(spark, d).select("id", "badges")
+    rows = tables.bounded_with_history(t, b, "elapsed", 0, BOUND_HI)
+    return rows.select("id", "title", "badges", F.col("elapsed").cast("double").alias("elapsed"))
+
+
+def _time_blocks():
+    return {
+        "title": MD.TextBlock("title", "words", 1, 1.0),
+        "badges": MD.TextBlock("badges", "words", 1, 1.0),
+    }
+
+
+@register("model_rf_reg")
+def model_rf_reg(spark, d):
+    df = _time_rows(spark, d).withColumn("label", F.col("elapsed"))
+    train, test = _split(df, "id")
+    spec = MD.ModelSpec("time_forest", _time_blocks(), MD.forest_regressor(30, 10))
+    out = spec.pipeline().fit(train).transform(test)
+    return out.select("id", "label", "prediction")
+
+
+@register("model_linear_time")
+def model_linear_time(spark, d):
+    """Linear regression on log10(wait), predictions mapped back by 10**x."""
+    df = _time_rows(spark, d).withColumn("label", F.log10("elapsed"))
+    train, test = _split(df, "id")
+    spec = MD.ModelSpec("time_linear", _time_blocks(), MD.linear_regression())
+    out = spec.pipeline().fit(train).transform(test)
+    return out.select(
+        "id", F.col("elapsed").alias("label"), F.pow(F.lit(10.0), "prediction").alias("prediction")
+    )
+
+
+@register("cv_topk")
+def cv_topk(spark, d):
+    df = SP.stratified_folds(_labelled(spark, d), "label", "doc_id", N_FOLDS)
+    n = df.count()
+    res = TU.grid_search(
+        df,
+        feature_stages=lambda p: MD.union_stages(_text_block(p["min_df"], MAX_DF)),
+        estimator=lambda p, n_train: MD.logistic(p["C"], n_train),
+        feature_grid={"min_df": [1, 2]},
+        estimator_grid={"C": [0.1, 1.0]},
+        kind="classification",
+        parallelism=4,
+    )
+    assert n > 0
+    return TU.top_k(res, 3)
