@@ -1,0 +1,39 @@
+from pyspark.sql import functions as F
+
+from waitline.plans import variants as V
+from waitline.plans import features as FE
+from waitline.operators import sampling as SP
+
+
+def test_published_grid_sizes():
+    sizes = {k: V.candidates(v) for k, v in V.VARIANTS.items()}
+    assert sizes["tags_svm"] == 20
+    assert sizes["content_svm"] == 432
+    assert sizes["content_forest"] == 648 and sizes["content_forest_time"] == 648
+    assert sizes["badge_success"] == 1 and sizes["badge_time"] == 90
+    assert sizes["combined"] == 9 and sizes["combined_time"] == 1
+    assert sizes["badges_logistic"] == 180 and sizes["content_logistic"] == 30375
+    assert sizes["tags_logistic"] == 1
+
+
+def test_combined_variant_runs_on_small_slice(spark):
+    rows = []
+    for i in range(60):
+        rows.append((i, f"title {i % 4} dogs", f"paragraph boxes {i % 5} text", f"<t{i % 3}><x>", i % 2))
+    df = spark.createDataFrame(rows, "id bigint, title string, paragraphs string, tags string, success int")
+    df = df.withColumn("success", F.col("success").cast("double"))
+    df = SP.stratified_folds(df, "success", "id", 3)
+    v = V.VARIANTS["combined"]
+    res = V.run_variant(v, df, grid={**{k: vals[:1] for k, vals in v.grid.items()}, "svd_k": [3]})
+    r = res.collect()
+    assert len(r) == 3 and all(0.0 <= x.score <= 1.0 for x in r)
+
+
+def test_svm_variant_with_class_weights(spark):
+    rows = [(i, f"<a{i % 4}><b>", float(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, tags string, success double")
+    df = FE.with_class_weight(df, "success", "weight")
+    df = SP.stratified_folds(df, "success", "id", 3)
+    v = V.VARIANTS["tags_svm"]
+    res = V.run_variant(v, df, grid={"tags.max_df": [1.0], "tags.min_df": [1], "C": [1.0]})
+    assert res.count() == 3

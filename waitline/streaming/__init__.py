@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference processes dated snapshots chosen by a ``starting_date``
+argument; it has no stream, watermark, window or state. Snapshots are
+handled as batch stages partitioned by ``starting_date``
+(``sources.files.write_stage`` / ``read_stage``), so no streaming operator
+is provided.
+"""
