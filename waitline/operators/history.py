@@ -3,9 +3,11 @@
 For each ask ``(id, user, t)`` the result lists the names of the user's
 earlier events (``ts < t``, strict), oldest first, joined by a space.
 
-Plan: asks and events form one timeline per user. Each user's timeline is
-cut into value ranges of the time key (``ordered.value_buckets``) so a user
-holding a third of all events is spread over many window partitions:
+Plan: asks and events form one timeline per user. A user with more than
+``rows_per_split`` rows has its timeline cut into value ranges of the time
+key (``ordered.hot_group_buckets``), so a user holding a third of all events
+is spread over many window partitions; other users stay whole (one range)
+and need no lookup at all:
 
 1. inside a range, a running ``collect_list`` over rows ordered
    ``(ts, kind, id)`` with the frame ending one row before the current one
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import DEFAULT_ROWS_PER_SPLIT, numeric_key, value_buckets
+from .ordered import DEFAULT_ROWS_PER_SPLIT, hot_group_buckets, numeric_key
 
 
 def prior_events(
@@ -66,7 +68,9 @@ def prior_events(
     ).where(F.col("_user").isNotNull() & F.col("_ts").isNotNull())
 
     timeline = a.where(F.col("_user").isNotNull()).unionByName(e)
-    b = value_buckets(timeline, ["_user"], numeric_key(F.col("_ts"), "timestamp"), rows_per_split)
+    b, any_split = hot_group_buckets(
+        timeline, ["_user"], numeric_key(F.col("_ts"), "timestamp"), rows_per_split
+    )
 
     order = [F.col("_ts"), F.col("_kind"), F.col("_id")]
     w_in = (
@@ -81,28 +85,34 @@ def prior_events(
         .select("_id", "_user", "_bucket", "_partial")
     )
 
-    # ranges only exist for users cut into more than one; the others have an
-    # empty prefix and skip this branch entirely
-    split_users = b.where(F.col("_n") > rows_per_split)
-    per_range = split_users.groupBy("_user", "_bucket").agg(
-        F.sort_array(
-            F.collect_list(F.when(F.col("_kind") == 1, F.struct(*order, "_name")))
-        ).alias("_evs")
-    )
-    w_prev = Window.partitionBy("_user").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    prefix = per_range.select(
-        "_user",
-        "_bucket",
-        F.flatten(
-            F.collect_list(F.transform("_evs", lambda x: x["_name"])).over(w_prev)
-        ).alias("_prefix"),
-    )
     empty = F.array().cast("array<string>")
-    lists = partial.join(prefix, ["_user", "_bucket"], "left").select(
-        "_id", "_user", F.concat(F.coalesce("_prefix", empty), "_partial").alias("_all")
-    )
+    if not any_split:
+        lists = partial.select("_id", "_user", F.col("_partial").alias("_all"))
+    else:
+        # ranges only exist for users cut into more than one; the others have
+        # an empty prefix and skip this branch
+        per_range = (
+            b.where(F.col("_split"))
+            .groupBy("_user", "_bucket")
+            .agg(
+                F.sort_array(
+                    F.collect_list(F.when(F.col("_kind") == 1, F.struct(*order, "_name")))
+                ).alias("_evs")
+            )
+        )
+        w_prev = Window.partitionBy("_user").orderBy("_bucket").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        prefix = per_range.select(
+            "_user",
+            "_bucket",
+            F.flatten(
+                F.collect_list(F.transform("_evs", lambda x: x["_name"])).over(w_prev)
+            ).alias("_prefix"),
+        )
+        lists = partial.join(prefix, ["_user", "_bucket"], "left").select(
+            "_id", "_user", F.concat(F.coalesce("_prefix", empty), "_partial").alias("_all")
+        )
 
     out = lists.select(
         F.col("_id").alias("id"),

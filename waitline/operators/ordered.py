@@ -69,6 +69,48 @@ def value_buckets(
     )
 
 
+# hot groups are broadcast to the split step only below this many groups;
+# beyond it the (still small) table is shuffle-joined instead
+HOT_BROADCAST_LIMIT = 1_000_000
+
+
+def hot_group_buckets(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    key: Column,
+    rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
+) -> tuple[DataFrame, bool]:
+    """Like ``value_buckets`` but only groups above ``rows_per_split`` rows
+    are looked up: returns (frame with ``_bucket`` and ``_split`` flag, any
+    group split?).
+
+    The per-group statistics are a partial + final aggregate; only the hot
+    groups (at most ``rows / rows_per_split`` of them) are joined back,
+    broadcast when their count is under ``HOT_BROADCAST_LIMIT``. Ordinary
+    groups get range 0 without any join, so the data is not shuffled for
+    the lookup.
+    """
+    k = df.withColumn("_k", key)
+    stats = k.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")
+    )
+    hot = stats.where(F.col("_n") > rows_per_split)
+    n_hot = hot.count()
+    if n_hot == 0:
+        out = k.drop("_k").withColumn("_bucket", F.lit(0)).withColumn("_split", F.lit(False))
+        return out, False
+    side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_LIMIT else hot
+    j = k.join(side, list(group_cols), "left")
+    nsplit = F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_split)), F.lit(1))
+    span = F.col("_hi") - F.col("_lo")
+    raw = F.floor((F.col("_k") - F.col("_lo")) / span * nsplit)
+    bucket = F.when(span > 0, F.least(raw, nsplit - 1)).otherwise(F.lit(0))
+    out = j.withColumn("_bucket", F.coalesce(bucket, F.lit(0)).cast("int")).withColumn(
+        "_split", F.col("_n").isNotNull()
+    )
+    return out.drop("_k", "_lo", "_hi", "_n"), True
+
+
 def _offsets(counts: DataFrame, group_cols: Sequence[str], value: str, out: str) -> DataFrame:
     w = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
