@@ -31,3 +31,10 @@ def test_baskets_are_distinct(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (2, "x")], "k int, it string")
     b = {r.k: sorted(r.items) for r in IS.baskets(df, "k", F.col("it")).collect()}
     assert b == {1: ["x", "y"], 2: ["x"]}
+
+
+def test_save_itemsets_by_date(spark, tmp_path):
+    df = spark.createDataFrame([(["a"], 3)], "items array<string>, freq bigint")
+    IS.save_itemsets(df, str(tmp_path / "sets"), "2016-02-01")
+    back = spark.read.parquet(str(tmp_path / "sets")).collect()
+    assert back[0].items == ["a"] and back[0].starting_date == "2016-02-01"

@@ -63,3 +63,10 @@ def test_classification_report(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0)], "label int, prediction int")
     rep = {r["class"]: r for r in EV.classification_report(df).collect()}
     assert rep[1].precision == 1.0 and rep[1].recall == 0.5 and rep[0].support == 2
+
+
+def test_sample_fraction_is_repeatable(spark):
+    df = spark.range(0, 2000)
+    a = {r.id for r in SP.sample_fraction(df, "id", 0.1).collect()}
+    b = {r.id for r in SP.sample_fraction(df.repartition(7), "id", 0.1).collect()}
+    assert a == b and 120 < len(a) < 280

@@ -121,3 +121,10 @@ def test_scan_pushes_filters(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate" in plan
     assert "l_comment" not in plan
     assert F is not None
+
+
+def test_attach_owner_drops_unowned(spark):
+    posts = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, title string")
+    owners = spark.createDataFrame([(1, 100)], "id bigint, owneruserid bigint")
+    got = [(r.id, r.owneruserid) for r in history.attach_owner(posts, owners).collect()]
+    assert got == [(1, 100)]

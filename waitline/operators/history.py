@@ -129,3 +129,9 @@ def prior_events(
         F.lit(0).cast("bigint").alias("n_badges"),
     )
     return out.unionByName(no_user)
+
+
+def attach_owner(posts: DataFrame, owners: DataFrame, key: str = "id", owner: str = "owneruserid"):
+    """Inner join of posts to their asker (C2): the reference's
+    ``merge(qa, questioner, on='id')``; posts without an owner row drop."""
+    return posts.join(owners.select(key, owner), key, "inner")

@@ -48,3 +48,14 @@ def frequent_itemsets(
     return sets.where(F.col("freq") >= min_count).select(
         F.array_sort("items").alias("items"), "freq", F.size("items").alias("size")
     )
+
+
+def save_itemsets(sets: DataFrame, path: str, starting_date: str | None = None) -> None:
+    """Persist ``(items, freq)`` rows as parquet (A12), keyed by snapshot date
+    when given."""
+    from ..sources.files import write_stage
+
+    if starting_date is None:
+        sets.write.mode("overwrite").parquet(path)
+    else:
+        write_stage(sets, path, starting_date)

@@ -997,3 +997,28 @@ def cv_topk(spark, d):
         parallelism=4,
     )
     return TU.top_k(res, 3)
+
+
+@register("time_model_eval")
+def time_model_eval(spark, d):
+    """Three regressors of the wait over one half split, MAE each:
+    linear on raw minutes, linear on log10 minutes mapped back by 10**x, and
+    a random forest on raw minutes. Output ``variant, mae, n``."""
+    df = _time_rows(spark, d)
+    train, test = SP.train_test_split(df, "id", 0.5, SEED)
+    out = None
+    for name, est, target in (
+        ("linear", MD.linear_regression(), "raw"),
+        ("linear_log10", MD.linear_regression(), "log10"),
+        ("forest", MD.forest_regressor(30, 10), "raw"),
+    ):
+        lab = F.col("elapsed") if target == "raw" else F.log10("elapsed")
+        spec = MD.ModelSpec(name, _time_blocks(), est)
+        model = spec.pipeline().fit(train.withColumn("label", lab))
+        pred = model.transform(test.withColumn("label", lab))
+        if target == "log10":
+            pred = pred.withColumn("prediction", F.pow(F.lit(10.0), "prediction"))
+        m = EV.mean_absolute_error(pred.withColumn("label", F.col("elapsed")), "label", "prediction")
+        m = m.select(F.lit(name).alias("variant"), "mae", "n")
+        out = m if out is None else out.unionByName(m)
+    return out
