@@ -37,4 +37,4 @@ def test_save_itemsets_by_date(spark, tmp_path):
     df = spark.createDataFrame([(["a"], 3)], "items array<string>, freq bigint")
     IS.save_itemsets(df, str(tmp_path / "sets"), "2016-02-01")
     back = spark.read.parquet(str(tmp_path / "sets")).collect()
-    assert back[0].items == ["a"] and back[0].starting_date == "2016-02-01"
+    assert back[0].items == ["a"] and str(back[0].starting_date) == "2016-02-01"
