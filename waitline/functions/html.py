@@ -27,10 +27,13 @@ from pyspark.sql import functions as F
 START = "\u0002"
 END = "\u0003"
 
-COMMENTS = r"(?is)<!--.*?-->"
-SCRIPTS = r"(?is)<script[^>]*>.*?</script>"
-STYLES = r"(?is)<style[^>]*>.*?</style>"
+COMMENTS = r"<!--.*?-->"
+SCRIPTS = r"<script[^>]*>.*?</script>"
+STYLES = r"<style[^>]*>.*?</style>"
 ANY_TAG = r"(?s)<[^>]*>"
+# the three removals in one left-to-right pass: a comment, script or style
+# block is dropped whole at whichever starts first
+NOISE = "(?is)" + "|".join((COMMENTS, SCRIPTS, STYLES))
 
 # fixed values: block elements whose closing tag ends an open paragraph
 P_CLOSERS = (
@@ -75,9 +78,7 @@ def end_pattern(tag: str) -> str:
 
 
 def strip_noise(html) -> Column:
-    h = F.regexp_replace(_c(html), COMMENTS, "")
-    h = F.regexp_replace(h, SCRIPTS, "")
-    return F.regexp_replace(h, STYLES, "")
+    return F.regexp_replace(_c(html), NOISE, "")
 
 
 def decode_entities(text) -> Column:

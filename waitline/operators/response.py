@@ -99,8 +99,9 @@ def late_questions(
 def answered_questions(
     questions: DataFrame, answers: DataFrame, q_id: str = "id", a_parent: str = "parentid"
 ) -> DataFrame:
-    """Questions with at least one answer (C7, semi join)."""
-    a = answers.select(F.col(a_parent).alias("_parent"))
+    """Questions with at least one answer (C7, semi join). Parent ids are
+    de-duplicated map-side first, so only distinct keys are shuffled."""
+    a = answers.select(F.col(a_parent).alias("_parent")).distinct()
     return questions.join(a, questions[q_id] == a["_parent"], "left_semi")
 
 
@@ -108,7 +109,7 @@ def unanswered_questions(
     questions: DataFrame, answers: DataFrame, q_id: str = "id", a_parent: str = "parentid"
 ) -> DataFrame:
     """Questions without any answer (C8, anti join; never ``NOT IN``)."""
-    a = answers.select(F.col(a_parent).alias("_parent"))
+    a = answers.select(F.col(a_parent).alias("_parent")).distinct()
     return questions.join(a, questions[q_id] == a["_parent"], "left_anti")
 
 

@@ -486,7 +486,7 @@ def lemma_terms(spark, d):
 
 def _duck_element_text(html: str, tag: str, null_if_none: bool = False) -> str:
     h = html
-    for pat in (H.COMMENTS, H.SCRIPTS, H.STYLES):
+    for pat in (H.NOISE,):
         h = f"regexp_replace({h}, {_sq(pat)}, '', 'g')"
     h = f"regexp_replace({h}, {_sq(H.start_pattern(tag))}, chr(2), 'g')"
     h = f"regexp_replace({h}, {_sq(H.end_pattern(tag))}, chr(3), 'g')"
@@ -514,7 +514,7 @@ _LIST_TAG = "li"
 
 def _duck_codes_cte(tag: str) -> str:
     h = "html"
-    for pat in (H.COMMENTS, H.SCRIPTS, H.STYLES):
+    for pat in (H.NOISE,):
         h = f"regexp_replace({h}, {_sq(pat)}, '', 'g')"
     h = f"regexp_replace({h}, {_sq(H.start_pattern(tag))}, chr(2), 'g')"
     h = f"regexp_replace({h}, {_sq(H.end_pattern(tag))}, chr(3), 'g')"
