@@ -76,8 +76,8 @@ def adhoc_recent_limit(spark, d):
 
     return adhoc_sql(
         spark,
-        {"events": proxies.table(spark, d, "events")},
-        f"SELECT * FROM events WHERE ts > TIMESTAMP_NTZ '{RECENT}' ORDER BY ts, event_id LIMIT 10",
+        {"waitline_events": proxies.table(spark, d, "events")},
+        f"SELECT * FROM waitline_events WHERE ts > TIMESTAMP_NTZ '{RECENT}' ORDER BY ts, event_id LIMIT 10",
     )
 
 
