@@ -128,3 +128,28 @@ def test_attach_owner_drops_unowned(spark):
     owners = spark.createDataFrame([(1, 100)], "id bigint, owneruserid bigint")
     got = [(r.id, r.owneruserid) for r in history.attach_owner(posts, owners).collect()]
     assert got == [(1, 100)]
+
+
+def test_prior_badges_one_hot_user_matches_brute_force(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    rnd = random.Random(5)
+    t0 = datetime(2024, 1, 1)
+    events = []
+    for i in range(900):
+        user = 0 if i % 3 == 0 else rnd.randint(1, 40)  # user 0 holds a third
+        kind = "ask" if rnd.random() < 0.3 else rnd.choice(["gold", "silver", "bronze"])
+        events.append((i, user, t0 + timedelta(minutes=rnd.randint(0, 5000)), kind))
+    df = spark.createDataFrame(events, "id bigint, userid bigint, date timestamp_ntz, name string")
+    asks = df.where("name = 'ask'").select("id", F.col("userid").alias("owneruserid"), F.col("date").alias("creationdate"))
+    badges = df.where("name != 'ask'")
+    got = {r.id: r.badges for r in history.prior_events(asks, badges, how="left", rows_per_split=40).collect()}
+    want = {}
+    for i, u, ts, k in events:
+        if k != "ask":
+            continue
+        prior = sorted((b_ts, b_id, b_name) for b_id, b_u, b_ts, b_name in events
+                       if b_name != "ask" and b_u == u and b_ts < ts)
+        want[i] = " ".join(p[2] for p in prior)
+    assert got == want
