@@ -64,12 +64,31 @@ def question_answers(
 def first_answer_time(
     answers: DataFrame, a_parent: str = "parentid", created: str = "creationdate"
 ) -> DataFrame:
-    """One row per question: ``(parentid, first_answer_date)``."""
+    """One row per question: ``(_parent, first_answer_date)``."""
     return answers.groupBy(F.col(a_parent).alias("_parent")).agg(
         F.min(created).alias("first_answer_date")
     )
 
 
+def first_answers(
+    answers: DataFrame,
+    tie_cols: Sequence[str] = (),
+    a_parent: str = "parentid",
+    created: str = "creationdate",
+) -> DataFrame:
+    """One row per question with its earliest answer (argmin of
+    ``(created, *tie_cols)``): ``_parent, first_answer_date, _f``.
+
+    Pass the same frame as ``first=`` to ``success_label`` and
+    ``first_response_time`` when a plan needs both: the answers are then
+    scanned and shuffled once and the exchange is reused.
+    """
+    agg = answers.groupBy(F.col(a_parent).alias("_parent")).agg(
+        F.min(F.struct(F.col(created).alias("d"), *[F.col(c) for c in tie_cols])).alias("_f")
+    )
+    return agg.withColumn("first_answer_date", F.col("_f.d"))
+
+
 def shortest_elapsed(
     questions: DataFrame,
     answers: DataFrame,
@@ -138,6 +157,7 @@ def success_label(
     created: str = "creationdate",
     keep: Sequence[str] = (),
     as_of=None,
+    first: DataFrame | None = None,
 ) -> DataFrame:
     """Success = first answer within ``deadline`` minutes.
 
@@ -146,9 +166,12 @@ def success_label(
     as in the reference. ``as_of`` (a timestamp) optionally drops questions
     younger than the deadline at the snapshot, which the reference labels
     failed by default (right-censoring).
-    Output: kept columns, ``id``, ``success``.
+    Output: kept columns, ``id``, ``success``. ``first`` is an optional
+    precomputed ``first_answers`` frame.
     """
-    first = first_answer_time(answers, a_parent, created)
+    if first is None:
+        first = first_answer_time(answers, a_parent, created)
+    first = first.select("_parent", "first_answer_date")
     q = questions.select(F.col(q_id).alias("id"), F.col(created).alias("_qd"), *keep)
     if as_of is not None:
         q = q.where(elapsed_minutes("_qd", F.lit(as_of).cast("timestamp_ntz")) >= deadline)
@@ -205,6 +228,7 @@ def first_response_time(
     created: str = "creationdate",
     accepted: str | None = None,
     keep: Sequence[str] = (),
+    first: DataFrame | None = None,
 ) -> DataFrame:
     """Earliest answer per question and its wait (D3, C3, M11; D7 keep-first).
 
@@ -219,9 +243,9 @@ def first_response_time(
     if accepted is not None:
         q = q.where(F.col(accepted).isNotNull())
     q = q.select(F.col(q_id).alias("id"), F.col(created).alias("question_date"), *keep)
-    first = answers.groupBy(F.col(a_parent).alias("_parent")).agg(
-        F.min(F.struct(F.col(created).alias("d"), *[F.col(c) for c in tie_cols])).alias("_f")
-    )
+    if first is None:
+        first = first_answers(answers, tie_cols, a_parent, created)
+    first = first.select("_parent", "_f")
     j = q.join(first, q["id"] == first["_parent"], "inner")
     return j.select(
         *keep,

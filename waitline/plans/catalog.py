@@ -199,10 +199,16 @@ _FIRST_ACCEPTED = f"""
     WHERE o_orderstatus = 'F'"""
 
 
-def _first_accepted(spark, d) -> DataFrame:
+def _first(spark, d) -> DataFrame:
+    """The one first-answer aggregate shared by every query of a plan."""
+    return response.first_answers(proxies.answers(spark, d), proxies.ANSWER_TIE_COLS)
+
+
+def _first_accepted(spark, d, first: DataFrame | None = None) -> DataFrame:
     q, a = _qa(spark, d)
     return response.first_response_time(
-        q, a, tie_cols=proxies.ANSWER_TIE_COLS, accepted="acceptedanswerid", keep=["title"]
+        q, a, tie_cols=proxies.ANSWER_TIE_COLS, accepted="acceptedanswerid", keep=["title"],
+        first=first,
     ).select("id", "title", "first_answer_date", "first_l_linenumber", "elapsed")
 
 
@@ -287,8 +293,11 @@ def badge_time(spark, d):
         FROM s FULL OUTER JOIN bt ON s.id = bt.id""",
 )
 def content_with_badges(spark, d):
-    s = success_day(spark, d)
-    bt = badge_time(spark, d)
+    first = _first(spark, d)
+    s = response.success_label(*_qa(spark, d), deadline=ONE_DAY_MINUTES, keep=["title"], first=first)
+    t = _first_accepted(spark, d, first).select("id", "elapsed")
+    b = prior_badges_inner(spark, d).select("id", "badges")
+    bt = tables.outer_by_id(t, b).select("id", "elapsed", "badges")
     return tables.outer_by_id(s, bt, fill={"badges": ""}).select(
         "id", "title", "success", "elapsed", "badges"
     )
