@@ -493,20 +493,21 @@ def lemma_terms(spark, d):
 # ---------------------------------------------------------------- HTML
 
 
-def _duck_element_text(html: str, tag: str, null_if_none: bool = False) -> str:
-    h = html
-    for pat in (H.NOISE,):
-        h = f"regexp_replace({h}, {_sq(pat)}, '', 'g')"
+def _duck_texts(html: str, tag: str) -> str:
+    """DuckDB list of the decoded texts of every ``tag`` element (same
+    pattern constants as ``functions.html``)."""
+    h = f"regexp_replace({html}, {_sq(H.NOISE)}, '', 'g')"
     h = f"regexp_replace({h}, {_sq(H.start_pattern(tag))}, chr(2), 'g')"
     h = f"regexp_replace({h}, {_sq(H.end_pattern(tag))}, chr(3), 'g')"
     h = f"regexp_replace({h}, {_sq(H.ANY_TAG)}, '', 'g')"
     dec = "split_part(p, chr(3), 1)"
     for ent, ch in H.ENTITIES:
         dec = f"replace({dec}, {_sq(ent)}, {_sq(ch)})"
-    lst = f"list_transform(string_split({h}, chr(2))[2:], lambda p: {dec})"
-    if null_if_none:
-        return f"(SELECT CASE WHEN len(x) > 0 THEN array_to_string(x, chr(10)) END FROM (SELECT {lst} AS x))"
-    return f"CASE WHEN {html} IS NOT NULL THEN array_to_string({lst}, chr(10)) END"
+    return f"list_transform(string_split({h}, chr(2))[2:], lambda p: {dec})"
+
+
+def _duck_element_text(html: str, tag: str) -> str:
+    return f"CASE WHEN {html} IS NOT NULL THEN array_to_string({_duck_texts(html, tag)}, chr(10)) END"
 
 
 @register(
@@ -521,23 +522,10 @@ def html_paragraphs(spark, d):
 _LIST_TAG = "li"
 
 
-def _duck_codes_cte(tag: str) -> str:
-    h = "html"
-    for pat in (H.NOISE,):
-        h = f"regexp_replace({h}, {_sq(pat)}, '', 'g')"
-    h = f"regexp_replace({h}, {_sq(H.start_pattern(tag))}, chr(2), 'g')"
-    h = f"regexp_replace({h}, {_sq(H.end_pattern(tag))}, chr(3), 'g')"
-    h = f"regexp_replace({h}, {_sq(H.ANY_TAG)}, '', 'g')"
-    dec = "split_part(p, chr(3), 1)"
-    for ent, ch in H.ENTITIES:
-        dec = f"replace({dec}, {_sq(ent)}, {_sq(ch)})"
-    return f"list_transform(string_split({h}, chr(2))[2:], lambda p: {dec})"
-
-
 @register(
     "html_codes",
     f"""SELECT page_id, CASE WHEN len(x) > 0 THEN array_to_string(x, chr(10)) END AS codes
-        FROM (SELECT page_id, {_duck_codes_cte(_LIST_TAG)} AS x FROM pages)""",
+        FROM (SELECT page_id, {_duck_texts('html', _LIST_TAG)} AS x FROM pages)""",
 )
 def html_codes(spark, d):
     p = proxies.table(spark, d, "pages")
@@ -547,7 +535,7 @@ def html_codes(spark, d):
 @register(
     "has_codes",
     f"""SELECT page_id, CASE WHEN len(x) > 0 THEN 1 ELSE 0 END AS hascodes
-        FROM (SELECT page_id, {_duck_codes_cte(_LIST_TAG)} AS x FROM pages)""",
+        FROM (SELECT page_id, {_duck_texts('html', _LIST_TAG)} AS x FROM pages)""",
 )
 def has_codes(spark, d):
     p = proxies.table(spark, d, "pages")
@@ -569,7 +557,7 @@ def _duck_title() -> str:
                CAST(NULL AS VARCHAR) AS tags,
                CASE WHEN len(x) > 0 THEN array_to_string(x, chr(10)) END AS codes,
                CASE WHEN len(x) > 0 THEN 1 ELSE 0 END AS hascodes
-        FROM (SELECT *, {_duck_codes_cte('code')} AS x FROM pages) WHERE html IS NOT NULL""",
+        FROM (SELECT *, {_duck_texts('html', 'code')} AS x FROM pages) WHERE html IS NOT NULL""",
 )
 def extract_posts(spark, d):
     from ..operators.extract import extract_posts as _extract
