@@ -116,3 +116,24 @@ def test_svd_matches_numpy(spark):
     want2 = y @ vt2[:3].T
     for j in range(3):
         assert abs(np.corrcoef(got2[:, j], want2[:, j])[0, 1]) > 0.9999
+
+
+def test_randomized_svd_path(spark, monkeypatch):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from waitline.plans import models as MD
+
+    monkeypatch.setattr(MD, "EXACT_SVD_MAX_DIM", 0)
+    rng = np.random.default_rng(1)
+    u0 = np.linalg.qr(rng.standard_normal((300, 5)))[0]
+    v0 = np.linalg.qr(rng.standard_normal((60, 5)))[0]
+    y = u0 @ np.diag([40, 20, 10, 5, 1.0]) @ v0.T
+    df = spark.createDataFrame([(i, y[i].tolist()) for i in range(300)], "i int, a array<double>")
+    df = df.select("i", array_to_vector("a").alias("v"))
+    got = np.array([r.p for r in MD.TruncatedSvd("v", "p", 3).fit(df).transform(df)
+                    .orderBy("i").select(vector_to_array("p").alias("p")).collect()])
+    _, _, vt = np.linalg.svd(y, full_matrices=False)
+    want = y @ vt[:3].T
+    for j in range(3):
+        assert abs(np.corrcoef(got[:, j], want[:, j])[0, 1]) > 0.9999
