@@ -106,9 +106,18 @@ def write_stage(df: DataFrame, path: str, starting_date: str, key: str = "starti
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def read_stage(spark: SparkSession, path: str, starting_date: str, key: str = "starting_date"):
-    """One snapshot of a stage; the date filter prunes partitions."""
-    return spark.read.parquet(path).where(F.col(key) == starting_date).drop(key)
+def read_stage(
+    spark: SparkSession, path: str, starting_date: str, key: str = "starting_date",
+    schema: StructType | None = None,
+):
+    """One snapshot of a stage; the date filter prunes partitions. Pass the
+    stage's ``schema`` to read a stage that may hold no rows (no files)."""
+    r = spark.read
+    if schema is not None:
+        from pyspark.sql.types import StringType, StructField
+
+        r = r.schema(StructType([*schema.fields, StructField(key, StringType(), True)]))
+    return r.parquet(path).where(F.col(key) == starting_date).drop(key)
 
 
 def read_jdbc(
