@@ -898,7 +898,7 @@ def _predict_classifier(spark, d, estimator, svd_k=None, weighted=False) -> Data
         df = FE.with_class_weight(df, "label", "weight")
     train, test = _split(df, "doc_id")
     spec = MD.ModelSpec("content", _text_block(), estimator, svd_k=svd_k)
-    model = spec.pipeline().fit(train)
+    model = spec.fit(train)
     out = model.transform(test)
     cols = ["doc_id", "label", "prediction"]
     if "probability" in out.columns:
@@ -957,7 +957,7 @@ def model_rf_reg(spark, d):
     df = _time_rows(spark, d).withColumn("label", F.col("elapsed"))
     train, test = _split(df, "id")
     spec = MD.ModelSpec("time_forest", _time_blocks(), MD.forest_regressor(30, 10))
-    out = spec.pipeline().fit(train).transform(test)
+    out = spec.fit(train).transform(test)
     return out.select("id", "label", "prediction")
 
 
@@ -967,7 +967,7 @@ def model_linear_time(spark, d):
     df = _time_rows(spark, d).withColumn("label", F.log10("elapsed"))
     train, test = _split(df, "id")
     spec = MD.ModelSpec("time_linear", _time_blocks(), MD.linear_regression())
-    out = spec.pipeline().fit(train).transform(test)
+    out = spec.fit(train).transform(test)
     return out.select(
         "id", F.col("elapsed").alias("label"), F.pow(F.lit(10.0), "prediction").alias("prediction")
     )
@@ -1011,7 +1011,7 @@ def time_model_eval(spark, d):
     ):
         lab = F.col("elapsed") if target == "raw" else F.log10("elapsed")
         spec = MD.ModelSpec(name, _time_blocks(), est)
-        model = spec.pipeline().fit(train.withColumn("label", lab))
+        model = spec.fit(train.withColumn("label", lab))
         pred = model.transform(test.withColumn("label", lab))
         if target == "log10":
             pred = pred.withColumn("prediction", F.pow(F.lit(10.0), "prediction"))
