@@ -53,3 +53,33 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(cols) == sorted(sdf.columns)
     assert len(got) == len(want)
     assert got == want
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_composite_plan_reads_answers_once(spark):
+    # exchange reuse is visible in the static plan (AQE re-plans at runtime)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(E.queries()["content_with_badges"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "lineitem" in ln]
+    assert len(scans) == 1, plan
+    assert "ReusedExchange" in plan
+
+
+def test_success_label_preaggregates_answers(spark):
+    plan = _plan(E.queries()["success_day"](spark, SF))
+    # partial aggregate of answers below the exchange, final above it
+    assert "HashAggregate" in plan and "partial_min" in plan
+
+
+def test_prior_badges_has_no_pair_join(spark):
+    plan = _plan(E.queries()["prior_badges_left"](spark, SF))
+    assert "Window" in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # asks and events are never joined to each other on the user
+    assert "SortMergeJoin" not in plan
