@@ -981,7 +981,7 @@ def cv_topk(spark, d):
     df = SP.stratified_folds(_labelled(spark, d), "label", "doc_id", N_FOLDS)
 
     def features(p):
-        stages = MD.union_stages(_text_block(p["min_df"], MAX_DF), out="features_raw")
+        stages = MD.union_stages(_text_block(p["min_df"], MAX_DF), out="features_raw", tokenize=False)
         return [*stages, MD.TruncatedSvd("features_raw", "features", p["svd_k"])]
 
     res = TU.grid_search(
@@ -992,6 +992,7 @@ def cv_topk(spark, d):
         estimator_grid={"C": [0.1, 1.0]},
         kind="classification",
         parallelism=4,
+        prepare=MD.tokenize_stages(_text_block()),
     )
     return TU.top_k(res, 3)
 

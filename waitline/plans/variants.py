@@ -58,14 +58,14 @@ class Variant:
     def estimator_grid(self) -> dict:
         return {k: v for k, v in self.grid.items() if "." not in k and k != "svd_k"}
 
-    def feature_stages(self, params: dict) -> list:
+    def feature_stages(self, params: dict, tokenize: bool = True) -> list:
         blocks = {}
         for name, b in self.blocks.items():
             kw = {k.split(".", 1)[1]: v for k, v in params.items() if k.startswith(name + ".")}
             blocks[name] = replace(b, **kw)
         if not self.svd:
-            return MD.union_stages(blocks)
-        stages = MD.union_stages(blocks, out="features_raw")
+            return MD.union_stages(blocks, tokenize=tokenize)
+        stages = MD.union_stages(blocks, out="features_raw", tokenize=tokenize)
         return [*stages, MD.TruncatedSvd("features_raw", "features", params.get("svd_k", 100))]
 
 
@@ -224,7 +224,9 @@ def run_variant(
     run = replace(v, grid=g)
     return TU.grid_search(
         df,
-        feature_stages=run.feature_stages,
+        # tokens depend on column and kind only: tokenise once for all folds
+        feature_stages=lambda p: run.feature_stages(p, tokenize=False),
+        prepare=MD.tokenize_stages(run.blocks),
         estimator=lambda p, n: run.estimator(p, n).setLabelCol(v.label),
         feature_grid=run.feature_grid(),
         estimator_grid=run.estimator_grid(),
