@@ -70,3 +70,21 @@ def test_sample_fraction_is_repeatable(spark):
     a = {r.id for r in SP.sample_fraction(df, "id", 0.1).collect()}
     b = {r.id for r in SP.sample_fraction(df.repartition(7), "id", 0.1).collect()}
     assert a == b and 120 < len(a) < 280
+
+
+def test_hot_group_ranges_balance_bursty_groups(spark):
+    from waitline.operators.ordered import hot_group_buckets
+
+    rows = [(0, float(i % 200)) for i in range(2900)]          # burst: first fifth of the span
+    rows += [(0, 200.0 + i * 8) for i in range(100)]           # sparse tail up to ~1000
+    rows += [(g, float(i)) for g in range(1, 6) for i in range(50)]  # ordinary groups
+    df = spark.createDataFrame(rows, "g int, k double")
+    b, split = hot_group_buckets(df, ["g"], F.col("k"), rows_per_split=300)
+    assert split
+    sizes = {(r.g, r._bucket): r.n for r in b.groupBy("g", "_bucket").agg(F.count("*").alias("n")).collect()}
+    hot = [n for (g, _), n in sizes.items() if g == 0]
+    assert len(hot) >= 8 and max(hot) <= 600, sorted(hot)
+    assert all(sizes[(g, 0)] == 50 for g in range(1, 6))
+    # ranges follow key order: every key of range i is below every key of range i+1
+    bounds = b.where("g = 0").groupBy("_bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("_bucket").collect()
+    assert all(a.hi < c.lo for a, c in zip(bounds, bounds[1:]))

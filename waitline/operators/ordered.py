@@ -69,6 +69,9 @@ def value_buckets(
     )
 
 
+# equal key slices per wanted range before merging by count
+FINE_PER_RANGE = 8
+
 # hot groups are broadcast to the split step only below this many groups;
 # beyond it the (still small) table is shuffle-joined instead
 HOT_BROADCAST_LIMIT = 1_000_000
@@ -88,7 +91,11 @@ def hot_group_buckets(
     groups (at most ``rows / rows_per_split`` of them) are joined back,
     broadcast when their count is under ``HOT_BROADCAST_LIMIT``. Ordinary
     groups get range 0 without any join, so the data is not shuffled for
-    the lookup.
+    the lookup. A hot group's key span is cut into ``FINE_PER_RANGE`` equal
+    slices per wanted range, slices are counted, and consecutive slices are
+    merged by running count into ranges of about ``rows_per_split`` rows, so
+    a bursty group is balanced by rows, not by key span. Slices never split
+    equal keys, so range order is key order and results stay exact.
     """
     k = df.withColumn("_k", key)
     stats = k.groupBy(*group_cols).agg(
@@ -101,14 +108,33 @@ def hot_group_buckets(
         return out, False
     side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_LIMIT else hot
     j = k.join(side, list(group_cols), "left")
-    nsplit = F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_split)), F.lit(1))
+    # fine slices: FINE_PER_RANGE equal slices of the key span per wanted
+    # range; only rows of hot groups get one (others: null, range 0)
+    nfine = F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_split)), F.lit(1)) * FINE_PER_RANGE
     span = F.col("_hi") - F.col("_lo")
-    raw = F.floor((F.col("_k") - F.col("_lo")) / span * nsplit)
-    bucket = F.when(span > 0, F.least(raw, nsplit - 1)).otherwise(F.lit(0))
-    out = j.withColumn("_bucket", F.coalesce(bucket, F.lit(0)).cast("int")).withColumn(
-        "_split", F.col("_n").isNotNull()
+    raw = F.floor((F.col("_k") - F.col("_lo")) / span * nfine)
+    fine = F.when(span > 0, F.least(raw, nfine - 1)).otherwise(F.lit(0)).cast("long")
+    j = j.withColumn("_fine", fine)
+    # rows per fine slice of the hot groups (at most FINE_PER_RANGE * rows /
+    # rows_per_split slices), merged in key order into ranges of about
+    # rows_per_split rows by their running count
+    sizes = j.where(F.col("_n").isNotNull()).groupBy(*group_cols, "_fine").agg(
+        F.count(F.lit(1)).alias("_c")
+    )
+    before = F.sum("_c").over(
+        Window.partitionBy(*group_cols).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranges = sizes.select(
+        *group_cols,
+        "_fine",
+        F.floor(F.coalesce(before, F.lit(0)) / F.lit(rows_per_split)).cast("int").alias("_bucket"),
     )
-    return out.drop("_k", "_lo", "_hi", "_n"), True
+    n_ranges = ranges.count()
+    rside = F.broadcast(ranges) if n_ranges <= HOT_BROADCAST_LIMIT else ranges
+    out = j.join(rside, [*group_cols, "_fine"], "left").withColumn(
+        "_bucket", F.coalesce(F.col("_bucket"), F.lit(0))
+    ).withColumn("_split", F.col("_n").isNotNull())
+    return out.drop("_k", "_lo", "_hi", "_n", "_fine"), True
 
 
 def _offsets(counts: DataFrame, group_cols: Sequence[str], value: str, out: str) -> DataFrame:
