@@ -2,12 +2,12 @@
 
 A window ``partitionBy(g).orderBy(k)`` sends every row of a group to one
 task; when one group holds a third of the data that task is the job. Here a
-group is cut into value ranges of its ordering key (``_bucket``), sized from
-the group's row count, so each window partition ``(g, _bucket)`` stays near
-``rows_per_split`` rows. Ranges are by value, so ties never straddle two
-ranges and bucket order equals key order. Results stay exact: per-range
-counts (or sums) are turned into offsets by a window over the ranges of a
-group, which has only ``ceil(n / rows_per_split)`` rows.
+group above ``rows_per_split`` rows is cut into ranges of its ordering key
+(``_bucket``) holding about ``rows_per_split`` rows each, so each window
+partition ``(g, _bucket)`` stays bounded. Ranges are by value, so ties never
+straddle two ranges and bucket order equals key order. Results stay exact:
+per-range counts (or sums) are turned into offsets by a window over the
+ranges of a group, which has only about ``n / rows_per_split`` rows.
 """
 
 from __future__ import annotations
@@ -30,45 +30,6 @@ def numeric_key(c: Column, dtype: str) -> Column:
     return c.cast("double")
 
 
-def value_buckets(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    key: Column,
-    rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
-) -> DataFrame:
-    """Add ``_n`` (group size) and ``_bucket`` (value range within the group).
-
-    Groups with at most ``rows_per_split`` rows get one range (bucket 0).
-    """
-    k = df.withColumn("_k", key)
-    if group_cols:
-        stats = k.groupBy(*group_cols).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("_k").alias("_lo"),
-            F.max("_k").alias("_hi"),
-        )
-        # one row per group; AQE broadcasts it when small and splits the
-        # skewed side of the shuffle join otherwise
-        k = k.join(stats, list(group_cols), "inner")
-    else:
-        row = k.agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")
-        ).first()
-        k = k.select(
-            "*",
-            F.lit(row["_n"]).cast("bigint").alias("_n"),
-            F.lit(row["_lo"]).cast("double").alias("_lo"),
-            F.lit(row["_hi"]).cast("double").alias("_hi"),
-        )
-    nsplit = F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_split)), F.lit(1))
-    span = F.col("_hi") - F.col("_lo")
-    raw = F.floor((F.col("_k") - F.col("_lo")) / span * nsplit)
-    bucket = F.when(span > 0, F.least(raw, nsplit - 1)).otherwise(F.lit(0))
-    return k.withColumn("_bucket", F.coalesce(bucket, F.lit(0)).cast("int")).drop(
-        "_k", "_lo", "_hi"
-    )
-
-
 # equal key slices per wanted range before merging by count
 FINE_PER_RANGE = 8
 
@@ -83,9 +44,9 @@ def hot_group_buckets(
     key: Column,
     rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
 ) -> tuple[DataFrame, bool]:
-    """Like ``value_buckets`` but only groups above ``rows_per_split`` rows
-    are looked up: returns (frame with ``_bucket`` and ``_split`` flag, any
-    group split?).
+    """Add ``_bucket`` (key range within the group) and ``_split``; return
+    (frame, any group split?). Only groups above ``rows_per_split`` rows
+    are cut; the others are one range.
 
     The per-group statistics are a partial + final aggregate; only the hot
     groups (at most ``rows / rows_per_split`` of them) are joined back,
@@ -137,11 +98,11 @@ def hot_group_buckets(
     return out.drop("_k", "_lo", "_hi", "_n", "_fine"), True
 
 
-def _offsets(counts: DataFrame, group_cols: Sequence[str], value: str, out: str) -> DataFrame:
-    w = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    return counts.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
+def _grouped(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
+    """A constant group for global orderings (joins then stay equi-joins)."""
+    if group_cols:
+        return df, list(group_cols), False
+    return df.withColumn("_g0", F.lit(0)), ["_g0"], True
 
 
 def exact_row_number(
@@ -155,18 +116,29 @@ def exact_row_number(
     """``row_number() over (partition by group order by order_cols)``, split.
 
     ``key`` is a numeric column ordered like the first of ``order_cols``.
-    Adds ``out`` (1-based) and ``_n`` (group size).
+    Adds ``out`` (1-based) and ``_n`` (group size). Groups above
+    ``rows_per_split`` rows are ranked in count-balanced key ranges
+    (``hot_group_buckets``); range offsets and group sizes come from the
+    per-range counts.
     """
-    b = value_buckets(df, group_cols, key, rows_per_split)
-    counts = b.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = _offsets(counts, group_cols, "_cnt", "_off").drop("_cnt")
-    local = Window.partitionBy(*group_cols, "_bucket").orderBy(*order_cols)
+    d, g, added = _grouped(df, group_cols)
+    b, _ = hot_group_buckets(d, g, key, rows_per_split)
+    counts = b.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    w_prev = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *g,
+        "_bucket",
+        F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)).alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy(*g)).alias("_n"),
+    )
+    local = Window.partitionBy(*g, "_bucket").orderBy(*order_cols)
     ranked = b.withColumn("_local", F.row_number().over(local))
-    return (
-        ranked.join(offsets, [*group_cols, "_bucket"], "inner")
+    res = (
+        ranked.join(offsets, [*g, "_bucket"], "inner")
         .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-        .drop("_off", "_local", "_bucket")
+        .drop("_off", "_local", "_bucket", "_split")
     )
+    return res.drop("_g0") if added else res
 
 
 def ntile_from_rank(rn: Column, n: Column, k: int) -> Column:
@@ -190,28 +162,28 @@ def running_sums(
     group_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Inclusive running sums of ``value_cols`` along ``order_col`` (rows with
-    distinct order values), computed in bounded value ranges.
+    distinct order values), computed in count-balanced key ranges.
 
     Adds ``cum_<v>`` for each value column.
     """
     sign = -1.0 if descending else 1.0
-    b = value_buckets(df, group_cols, key * F.lit(sign), rows_per_split)
-    totals = b.groupBy(*group_cols, "_bucket").agg(
-        *[F.sum(v).alias(f"_t_{v}") for v in value_cols]
+    d, g, added = _grouped(df, group_cols)
+    b, _ = hot_group_buckets(d, g, key * F.lit(sign), rows_per_split)
+    totals = b.groupBy(*g, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    w_off = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        *g,
+        "_bucket",
+        *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in value_cols],
     )
-    w_off = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    for v in value_cols:
-        totals = totals.withColumn(f"_o_{v}", F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)))
-    totals = totals.drop(*[f"_t_{v}" for v in value_cols])
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    w_in = Window.partitionBy(*group_cols, "_bucket").orderBy(oc).rowsBetween(
+    w_in = Window.partitionBy(*g, "_bucket").orderBy(oc).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     for v in value_cols:
         b = b.withColumn(f"_l_{v}", F.sum(v).over(w_in))
-    out = b.join(totals, [*group_cols, "_bucket"], "inner")
+    out = b.join(totals, [*g, "_bucket"], "inner")
     for v in value_cols:
         out = out.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
-    return out.drop("_bucket", "_n", *[f"_o_{v}" for v in value_cols], *[f"_l_{v}" for v in value_cols])
+    out = out.drop("_bucket", "_split", *[f"_o_{v}" for v in value_cols], *[f"_l_{v}" for v in value_cols])
+    return out.drop("_g0") if added else out
