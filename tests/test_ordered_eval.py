@@ -88,3 +88,19 @@ def test_hot_group_ranges_balance_bursty_groups(spark):
     # ranges follow key order: every key of range i is below every key of range i+1
     bounds = b.where("g = 0").groupBy("_bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("_bucket").collect()
     assert all(a.hi < c.lo for a, c in zip(bounds, bounds[1:]))
+
+
+def test_split_paths_have_no_pair_joins(spark):
+    from waitline.operators.ordered import exact_row_number, running_sums
+
+    df = spark.range(0, 300).select(
+        F.col("id").cast("double").alias("s"), F.lit(1).alias("v"), (F.col("id") % 2).alias("g")
+    )
+    for out in (
+        running_sums(df, "s", ["v"], F.col("s"), True, 7),
+        exact_row_number(df, ["g"], [F.col("s")], F.col("s"), 20),
+        exact_row_number(df, [], [F.col("s")], F.col("s"), 20),
+    ):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        assert out.count() == 300

@@ -59,16 +59,31 @@ def hot_group_buckets(
     equal keys, so range order is key order and results stay exact.
     """
     k = df.withColumn("_k", key)
-    stats = k.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")
-    )
-    hot = stats.where(F.col("_n") > rows_per_split)
-    n_hot = hot.count()
-    if n_hot == 0:
-        out = k.drop("_k").withColumn("_bucket", F.lit(0)).withColumn("_split", F.lit(False))
-        return out, False
-    side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_LIMIT else hot
-    j = k.join(side, list(group_cols), "left")
+    if not group_cols:
+        # one global group: its statistics are three scalars, no join
+        row = k.agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")
+        ).first()
+        if row["_n"] <= rows_per_split:
+            out = k.drop("_k").withColumn("_bucket", F.lit(0)).withColumn("_split", F.lit(False))
+            return out, False
+        j = k.select(
+            "*",
+            F.lit(row["_n"]).cast("bigint").alias("_n"),
+            F.lit(row["_lo"]).cast("double").alias("_lo"),
+            F.lit(row["_hi"]).cast("double").alias("_hi"),
+        )
+    else:
+        stats = k.groupBy(*group_cols).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")
+        )
+        hot = stats.where(F.col("_n") > rows_per_split)
+        n_hot = hot.count()
+        if n_hot == 0:
+            out = k.drop("_k").withColumn("_bucket", F.lit(0)).withColumn("_split", F.lit(False))
+            return out, False
+        side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_LIMIT else hot
+        j = k.join(side, list(group_cols), "left")
     # fine slices: FINE_PER_RANGE equal slices of the key span per wanted
     # range; only rows of hot groups get one (others: null, range 0)
     nfine = F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_split)), F.lit(1)) * FINE_PER_RANGE
@@ -98,13 +113,6 @@ def hot_group_buckets(
     return out.drop("_k", "_lo", "_hi", "_n", "_fine"), True
 
 
-def _grouped(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
-    """A constant group for global orderings (joins then stay equi-joins)."""
-    if group_cols:
-        return df, list(group_cols), False
-    return df.withColumn("_g0", F.lit(0)), ["_g0"], True
-
-
 def exact_row_number(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -121,8 +129,17 @@ def exact_row_number(
     (``hot_group_buckets``); range offsets and group sizes come from the
     per-range counts.
     """
-    d, g, added = _grouped(df, group_cols)
-    b, _ = hot_group_buckets(d, g, key, rows_per_split)
+    g = list(group_cols)
+    b, split = hot_group_buckets(df, g, key, rows_per_split)
+    if not split:
+        # every group is one range of at most rows_per_split rows: plain
+        # windows, no offsets (and no join on constant keys)
+        res = b.withColumn(out, F.row_number().over(Window.partitionBy(*g).orderBy(*order_cols)))
+        res = res.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*g))).drop(
+            "_bucket", "_split"
+        )
+        res = res.withColumn(out, F.col(out).cast("bigint"))
+        return res
     counts = b.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     w_prev = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -138,7 +155,7 @@ def exact_row_number(
         .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
         .drop("_off", "_local", "_bucket", "_split")
     )
-    return res.drop("_g0") if added else res
+    return res
 
 
 def ntile_from_rank(rn: Column, n: Column, k: int) -> Column:
@@ -167,8 +184,16 @@ def running_sums(
     Adds ``cum_<v>`` for each value column.
     """
     sign = -1.0 if descending else 1.0
-    d, g, added = _grouped(df, group_cols)
-    b, _ = hot_group_buckets(d, g, key * F.lit(sign), rows_per_split)
+    g = list(group_cols)
+    b, split = hot_group_buckets(df, g, key * F.lit(sign), rows_per_split)
+    oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if not split:
+        w = Window.partitionBy(*g).orderBy(oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = b
+        for v in value_cols:
+            out = out.withColumn(f"cum_{v}", F.sum(v).over(w))
+        out = out.drop("_bucket", "_split")
+        return out
     totals = b.groupBy(*g, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     w_off = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(
@@ -176,7 +201,6 @@ def running_sums(
         "_bucket",
         *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in value_cols],
     )
-    oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = Window.partitionBy(*g, "_bucket").orderBy(oc).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -186,4 +210,4 @@ def running_sums(
     for v in value_cols:
         out = out.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
     out = out.drop("_bucket", "_split", *[f"_o_{v}" for v in value_cols], *[f"_l_{v}" for v in value_cols])
-    return out.drop("_g0") if added else out
+    return out
