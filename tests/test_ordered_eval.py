@@ -104,3 +104,11 @@ def test_split_paths_have_no_pair_joins(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert out.count() == 300
+
+
+def test_hash_folds_cover_and_repeat(spark):
+    df = spark.range(0, 999)
+    a = {r.id: r.fold for r in SP.hash_folds(df, "id", 3).collect()}
+    b = {r.id: r.fold for r in SP.hash_folds(df.repartition(5), "id", 3).collect()}
+    assert a == b and set(a.values()) == {1, 2, 3}
+    assert all(250 < list(a.values()).count(k) < 420 for k in (1, 2, 3))

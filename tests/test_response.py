@@ -153,3 +153,24 @@ def test_prior_badges_one_hot_user_matches_brute_force(spark):
                        if b_name != "ask" and b_u == u and b_ts < ts)
         want[i] = " ".join(p[2] for p in prior)
     assert got == want
+
+
+def test_success_label_as_of_drops_unsettled(spark):
+    from datetime import datetime
+
+    q, a = _qa(spark)
+    # at 2016-02-02 00:00 every fixture question is 14 h old: younger than one day
+    assert response.success_label(q, a, 1440, as_of=datetime(2016, 2, 2)).count() == 0
+    settled = response.success_label(q, a, 1440, as_of=datetime(2016, 2, 3))
+    assert settled.count() == 6
+
+
+def test_histogram_edges(spark):
+    from waitline.operators import profile
+
+    df = spark.createDataFrame([(float(x),) for x in [0, 1, 2, 3, 10]], "v double")
+    h = {r.bin: r.n for r in profile.histogram(df, F.col("v"), 5).collect()}
+    assert h == {0: 2, 1: 2, 4: 1}  # width 2; the maximum falls in the last bin
+    flat = spark.createDataFrame([(2.0,), (2.0,)], "v double")
+    assert [(r.bin, r.n) for r in profile.histogram(flat, F.col("v"), 5).collect()] == [(0, 2)]
+    assert profile.bin_edges(0.0, 10.0, 5) == [0.0, 2.0, 4.0, 6.0, 8.0, 10.0]
