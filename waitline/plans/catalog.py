@@ -81,6 +81,25 @@ def adhoc_recent_limit(spark, d):
     )
 
 
+LOOKUP_USER = 7
+
+
+@register(
+    "user_badges_lookup",
+    f"""SELECT event_id AS id, user_id AS userid, event_type AS name, ts AS date
+        FROM events WHERE event_type <> 'purchase' AND user_id = {LOOKUP_USER}""",
+)
+def user_badges_lookup(spark, d):
+    """All badges of one user (the reference's ``WHERE userid = k`` query)."""
+    from ..sources.files import adhoc_sql
+
+    return adhoc_sql(
+        spark,
+        {"waitline_badges": proxies.badges(spark, d)},
+        f"SELECT * FROM waitline_badges WHERE userid = {LOOKUP_USER}",
+    )
+
+
 @register(
     "point_lookup",
     f"""SELECT o_orderkey AS id, 1 AS posttypeid, o_orderdate AS creationdate, o_custkey AS owneruserid,
