@@ -6,15 +6,13 @@ Patterns avoid look-around so the same text works in Java regex and RE2.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .stopwords import ENGLISH
+
 # default word pattern of the reference's vectoriser: two or more word
 # characters (letters, digits, underscore)
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -58,24 +56,14 @@ def tag_tokens(text, lowercase: bool = True) -> Column:
     return F.filter(trimmed, lambda p: p != "")
 
 
-@lru_cache(maxsize=None)
 def english_stop_words() -> tuple[str, ...]:
-    """Spark's own English stop-word list (181 words), read from the MLlib jar
-    that ships with pyspark so SQL built from it needs no running JVM.
+    """Spark's own English stop-word list (181 words), a constant of this
+    package: needs neither a jar nor a JVM.
 
     The reference used another library's list (318 words); the list is a
     parameter everywhere it is used.
     """
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            data = z.read("org/apache/spark/ml/feature/stopwords/english.txt")
-            return tuple(w for w in data.decode("utf-8").split() if w)
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+    return ENGLISH
 
 
 def remove_stop_words(
