@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import substring
+from . import simhash, substring
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +47,9 @@ _WORDS = r"coalesce(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+'), []::VARCHAR[]
 def op9_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeated(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@_query("op10_simhash_dedup")
+def op10_simhash_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
