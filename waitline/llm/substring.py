@@ -48,7 +48,7 @@ from . import common as C
 WIDTH = 13
 ROWS = 2
 MOST_CELLS = 1 << 28
-RUN = 1 << 21  # windows of a sketch or request run
+RUN = 1 << 20  # windows of a run of the sketch; half as many of a run of requests
 FAN_IN = 64
 SLICE = 1 << 20
 
@@ -280,7 +280,7 @@ def _asker(sketch, bits: int, bucket_bits: int, width: int):
                     parts.append((doc[at] + len(docs), pos[at], key[at], key2[at]))
                     docs += zip(ids[i:j], marks[i:j])
                     held += len(at)
-                if held >= RUN:
+                if held >= RUN // 2:
                     yield _batch(list(_requests(docs, parts, number, bucket_bits)), _MESSAGE_SCHEMA)
                     docs, parts, held, number = [], [], 0, number + 1
         if held:
@@ -359,11 +359,11 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str, width: int) -> tuple[DataFrame, str, str]:
     """``docs`` with the columns of their ranges (null: none)."""
-    lo, hi = C.free_name(docs, "_lo"), C.free_name(docs, "_hi")
-    found = repeated_ranges(docs, id_col, text_col, width).select(F.col("id").alias("_wl_id"), F.col("mark").alias("_wl_mark"), F.col("lo").alias(lo), F.col("hi").alias(hi))
-    found = C.stored(found.dropDuplicates(["_wl_id", "_wl_mark"]), "ranges")  # repeated rows have the same ranges
-    on = (docs[id_col].cast("long") == found["_wl_id"]) & (F.xxhash64(docs[text_col]) == found["_wl_mark"])
-    return docs.join(found, on, "left").drop("_wl_id", "_wl_mark"), lo, hi
+    lo, hi, own, mark = (C.free_name(docs, x) for x in ("_lo", "_hi", "_id", "_mark"))
+    found = repeated_ranges(docs, id_col, text_col, width).toDF(own, mark, lo, hi)
+    found = C.stored(found.dropDuplicates([own, mark]), "ranges")  # repeated rows have the same ranges
+    on = (docs[id_col].cast("long") == found[own]) & (F.xxhash64(docs[text_col]) == found[mark])
+    return docs.join(found, on, "left").drop(own, mark), lo, hi
 
 
 def _cutter(text_at: int, lo_at: int, hi_at: int, kept_columns: int):
