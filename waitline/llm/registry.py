@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, substring
+from . import quality, simhash, substring
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,48 @@ def _query(name: str, sql: str | None = None):
 _WORDS = r"coalesce(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+'), []::VARCHAR[])"
 
 
+_QUALITY = rf"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+    f AS (SELECT doc_id, lang, ws, len(ws)::BIGINT AS n_words, coalesce(length(array_to_string(ws, '')), 0)::BIGINT AS word_chars, length(t) AS chars,
+                 len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(regexp_extract_all(t, '\p{{Lu}}')) AS upper,
+                 len(regexp_extract_all(t, '[0-9]')) AS digits,
+                 len(regexp_extract_all(t, '[!\x22\x27()+,\-./:;=?@\[\\\]^_`{{}}~]')) AS punct,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines FROM d),
+    v AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(ws) - 4), lambda i: {{'i': i, 'k': array_to_string(ws[i:i + 4], ' ')}})) AS s
+          FROM d WHERE len(ws) >= 5),
+    twice AS (SELECT doc_id, s.k AS k FROM v GROUP BY 1, 2 HAVING count(*) > 1),
+    rep AS (SELECT doc_id, count(DISTINCT i + j)::BIGINT AS n FROM (SELECT v.doc_id, v.s.i AS i FROM v JOIN twice t ON t.doc_id = v.doc_id AND t.k = v.s.k),
+            (SELECT unnest(range(5)) AS j) GROUP BY doc_id),
+    tok AS (SELECT doc_id, lang, unnest(ws) AS word FROM d),
+    common AS (SELECT * FROM (SELECT lang, lower(word) AS word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, lower(word)) AS k
+               FROM tok WHERE length(word) <= 4 GROUP BY 1, 2) WHERE k <= 24),
+    hit AS (SELECT doc_id, k, count(*) AS n FROM tok JOIN common c ON c.lang = tok.lang AND c.word = lower(tok.word) WHERE length(tok.word) <= 4 GROUP BY 1, 2),
+    bins AS (SELECT doc_id, k, n FROM hit UNION ALL
+             SELECT f.doc_id, 25, n_words - coalesce(h.n, 0) FROM f LEFT JOIN (SELECT doc_id, sum(n) AS n FROM hit GROUP BY 1) h ON h.doc_id = f.doc_id),
+    cls AS (SELECT doc_id, lang, unnest([n_symbols, upper, digits, punct, chars - word_chars, word_chars - n_symbols - upper - digits - punct]) AS n,
+                   unnest([1, 2, 3, 4, 5, 6]) AS k FROM f),
+    every AS (SELECT 'word' AS kind, f.doc_id, f.lang, g.k, coalesce(b.n, 0) AS n FROM f CROSS JOIN (SELECT unnest(range(1, 26)) AS k) g
+              LEFT JOIN bins b ON b.doc_id = f.doc_id AND b.k = g.k UNION ALL SELECT 'char', doc_id, lang, k, n FROM cls),
+    ref AS (SELECT kind, lang, k, sum(n)::DOUBLE / nullif(sum(sum(n)) OVER (PARTITION BY kind, lang), 0) AS q FROM every GROUP BY 1, 2, 3),
+    pq AS (SELECT e.kind, e.doc_id, coalesce(e.n::DOUBLE / nullif(sum(e.n) OVER (PARTITION BY e.kind, e.doc_id), 0), 0) AS p, coalesce(q, 0) AS q
+           FROM every e JOIN ref r ON r.kind = e.kind AND r.lang = e.lang AND r.k = e.k),
+    js AS (SELECT doc_id, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                  + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS dist FROM pq GROUP BY 1, 2),
+    rules AS (SELECT f.doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                 coalesce(rep.n, 0)::BIGINT AS n_repeat_words, n_words < 10 OR 100 * coalesce(rep.n, 0) > 20 * n_words AS base_failed,
+                 (chars >= 200 AND c.dist > 0.25) OR (n_words >= 50 AND w.dist > 0.45) AS strange
+          FROM f LEFT JOIN rep ON rep.doc_id = f.doc_id JOIN js c ON c.doc_id = f.doc_id AND c.kind = 'char' JOIN js w ON w.doc_id = f.doc_id AND w.kind = 'word')"""
+
+
+@_query(
+    "op1_distribution_divergence",
+    f"""{_QUALITY}
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT strange AS kept FROM rules""",
+)
+def op1_distribution_divergence(spark, sf_dir):
+    found = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @_query(
     "op9_substring_dedup",
     f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
