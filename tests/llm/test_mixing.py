@@ -1,0 +1,88 @@
+"""Poisson replication: draws, rates, order and edge cases."""
+
+import hashlib
+import math
+
+import pyarrow.parquet as pq
+from pyspark.sql import types as T
+
+from waitline.llm import mixing as M
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType()), T.StructField("copy", T.StringType()), T.StructField("_u", T.StringType())])
+
+
+def draw(i, text, seed):
+    inner = hashlib.md5((text or "").encode()).hexdigest()
+    return int(hashlib.md5(f"{'' if i is None else i}|{inner}|{seed}".encode()).hexdigest()[:13], 16) / 2**52
+
+
+def inverse(u, rate):
+    k, log = 0, -rate
+    total = math.exp(log)
+    while total <= u:
+        k += 1
+        log += math.log(rate / k)
+        total += math.exp(log)
+    return k
+
+
+def brute(rows, weights=None, seed=1):
+    """rows: (id, text, source) -> {(id, source): copies} of the rows that stay."""
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s or ""] = sizes.get(s or "", 0) + len(t or "")
+    w = {s: (math.sqrt(n) if weights is None else weights.get(s, 0.0)) if n else 0.0 for s, n in sizes.items()}
+    rate = {s: w[s] / sum(w.values()) * sum(sizes.values()) / n for s, n in sizes.items() if n}
+    out = []
+    for i, t, s in rows:
+        r = rate.get(s or "")
+        k = 1 if r is None else inverse(draw(i, t, seed), r) if r else 0
+        out += [(i, s, c + 1) for c in range(k)]
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted(((r.doc_id, r.source, r.copy) for r in df.collect()), key=str)
+
+
+def test_whole_table_equals_brute_force(spark):
+    t = pq.read_table(f"{SF}/documents.parquet").to_pydict()
+    rows = list(zip(t["doc_id"], t["text"], t["source"]))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert result(M.replicated(docs)) == brute(rows)
+    weights = {"src0": 60.0, "src1": 1.0, "src2": 0.5}
+    assert result(M.replicated(docs, weights=weights, seed=5)) == brute(rows, weights, 5)
+
+
+def test_sizes_meet_the_weights(spark):
+    rows = [(i, "x" * 10, "a" if i % 10 else "b") for i in range(20_000)]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
+    got = dict(M.replicated(df, weights={"a": 0.25, "b": 0.75}).groupBy("source").count().collect())
+    assert abs(got["a"] - 5000) < 300 and abs(got["b"] - 15000) < 600
+
+
+def test_order_is_random_and_sorted_within_partitions(spark):
+    df = spark.createDataFrame([(i, "x", "a" if i < 500 else "b", "", "") for i in range(1000)], SCHEMA)
+    parts = M.replicated(df).rdd.glom().collect()
+    assert all([r.shuffle_key for r in p] == sorted(r.shuffle_key for r in p) for p in parts)
+    whole = [r.doc_id for p in parts for r in p]
+    assert abs(sum(i < 500 for i in whole[: len(whole) // 2]) / (len(whole) // 2) - 0.5) < 0.1
+
+
+def test_nulls_ties_repeats_and_clashing_columns(spark):
+    rows = [(1, "a" * 30, None), (None, "b" * 9, "s"), (2, None, "s"), (3, "", "empty"), (4, None, "empty"), (5, "c" * 400_000, "long")]
+    rows += [(7, "same", "s"), (7, "same", "s"), (7, "other", "s")]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    out = M.replicated(df, seed=3)
+    assert out.columns == ["doc_id", "text", "source", "_u", "copy", "shuffle_key"]
+    assert result(out) == brute(rows, seed=3)
+    assert [x for x in result(out) if x[1] == "empty"] == [(3, "empty", 1), (4, "empty", 1)]
+    high = [(i, "z" if i else "z" * 2000, "few" if i else "many") for i in range(3)]
+    rates = {"few": 1.0, "many": 0.0}  # thousands of copies: the table stays exact
+    got = result(M.replicated(spark.createDataFrame([(*r, "", "") for r in high], SCHEMA), weights=rates))
+    assert got == brute(high, rates) and 1700 < len(got) < 2300
+
+
+def test_empty_table(spark):
+    assert M.replicated(spark.createDataFrame([], SCHEMA)).count() == 0

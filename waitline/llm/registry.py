@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash, substring
+from . import mixing, quality, simhash, substring
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,25 @@ def op1_distribution_divergence(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query(
+    "op4_poisson_mixing",
+    """WITH RECURSIVE s AS (SELECT coalesce(source, '') AS source, sum(coalesce(length(text), 0))::DOUBLE AS size FROM documents GROUP BY 1),
+        r AS (SELECT source, sqrt(size) / (SELECT sum(sqrt(size)) FROM s) * (SELECT sum(size) FROM s) / nullif(size, 0) AS rate FROM s),
+        pmf(source, rate, k, logp) AS (SELECT source, rate, 0, -rate FROM r WHERE rate > 0 UNION ALL
+            SELECT source, rate, k + 1, logp + ln(rate / (k + 1)) FROM pmf WHERE k < ceil(rate + 12 * sqrt(rate) + 40)),
+        cdf AS (SELECT source, k, sum(exp(logp)) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS c FROM pmf),
+        u AS (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|1'), 1, 13))::BIGINT / 4503599627370496.0 AS draw
+              FROM documents),
+        n AS (SELECT u.doc_id, u.source, u.text, CASE WHEN r.rate IS NULL THEN 1 ELSE
+                     (SELECT count(*) FROM cdf WHERE cdf.source = coalesce(u.source, '') AND cdf.c <= u.draw) END AS n
+              FROM u JOIN r ON r.source = coalesce(u.source, ''))
+        SELECT doc_id, source, text, unnest(generate_series(1, n))::INTEGER AS copy FROM n WHERE n > 0""",
+)
+def op4_poisson_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.replicated(docs).select("doc_id", "source", "text", "copy")
+
+
 @_query(
     "op9_substring_dedup",
     f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
