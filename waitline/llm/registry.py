@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, simhash, substring
+from . import mixing, packing, quality, simhash, substring
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,11 @@ def op4_poisson_mixing(spark, sf_dir):
     return mixing.replicated(docs).select("doc_id", "source", "text", "copy")
 
 
+@_query("op6_best_fit_packing")
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query(
     "op9_substring_dedup",
     f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
