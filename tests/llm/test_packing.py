@@ -22,7 +22,7 @@ def encoded(text):
     return Tokenizer.from_file(K.path_of()).encode(text or "", add_special_tokens=False).ids
 
 
-ODD = ["<|endoftext|> a <|startoftext|>b", "Ünḯcode wörd x\x85y", "it's I'VE don't'll 12345 \U0001f642\U0001f642 漢字", "J̌ ǰ İ ΣΑΣ", "\x00 \x1f\x1c a​b", " \t\n\x0b\f\r", "", "e\ń x", "x" * 3000]
+ODD = ["<|endoftext|> a <|startoftext|>b", "Ünḯcode wörd x\x85y", "it's I'VE don't'll 12345 \U0001f642\U0001f642 漢字", "J̌ ǰ İ ΣΑΣ", "\x00 \x1f\x1c a​b", " \t\n\x0b\f\r", "", "e\ń x", "x" * 3000, "\u00c9cole, STRASSE: \u00df\u00ff\u00fe\u00f0\u00d7\u00f7 \u00c0\u00d6\u00d8\u00f6\u00f8! na\u0303o \u00aa\u00ba \u00b5 a.. b., C!", "isn't, it's. o'clock, 'the' I'M"]
 
 
 def test_ids_equal_those_of_whole_texts(monkeypatch):

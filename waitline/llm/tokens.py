@@ -5,10 +5,19 @@ The tokenizer drops white space, so the ids of a text are those of its words
 encoded once in a task. That holds for tokenizers whose pre-tokenizer never
 keeps or crosses white space, such as ``word_bpe_49k.json``; ``ids_of`` is
 tested against encoding whole texts.
+
+Most of the time of encoding a single word goes into the normaliser and the
+pre-tokenizer. For a word of Latin-1 letters, perhaps with one mark after it,
+what these two do is known (lower case; letters and mark apart; bytes as
+characters), so its parts go straight to the file's BPE model. This shortcut is
+taken only for files whose normaliser and pre-tokenizer are those.
 """
 
 from __future__ import annotations
 
+import json
+import re
+
 import numpy as np
 import pyarrow as pa
 
@@ -24,6 +33,29 @@ def path_of(name: str = NAME) -> str:
     return public_tokenizers.path(name)
 
 
+#: The normaliser and pre-tokenizer that the shortcut knows.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
+
+
+def _byte_characters() -> dict[int, str]:
+    """Latin-1 letters as byte-level BPE writes their UTF-8 bytes: a printable
+    Latin-1 byte as itself, the n-th other byte as character 256 + n."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    name = {b: chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)}
+    return {c: "".join(name[b] for b in chr(c).encode()) for c in range(192, 256)}
+
+
+def _known(path: str) -> bool:
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    parts = ((made.get("normalizer") or {}).get("normalizers") or []), ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [])
+    return [x["type"] for x in parts[0]] == _NORMALIZERS and [x["type"] for x in parts[1]] == ["Split", "ByteLevel"] and parts[1][0]["pattern"] == {"Regex": _SPLIT}
+
+
 class WordTable:
     """Words to ids, filled as words come."""
 
@@ -31,39 +63,66 @@ class WordTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model if _known(path) else None
+        self.characters = _byte_characters()
         self._clear()
 
     def _clear(self):
         self.index: dict[bytes, int] = {}
+        self.parts: dict[str, list[int]] = {}
         self.flat, self.used = np.empty(1 << 18, np.uint32), 0
         self.starts, self.lengths = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
 
+    def _part(self, part: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.characters))]
+
+    def _encoded(self, words: list[bytes]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(words)
+        rest, marks, plain = [], self.parts, _PLAIN.fullmatch
+        for k, word in enumerate(words):
+            text = word.decode()
+            found = plain(text) if self.model else None
+            if found is None:
+                rest.append((k, text))
+                continue
+            letters, mark = found.groups()
+            ids = self._part(letters.lower())
+            if mark:
+                if mark not in marks:
+                    marks[mark] = self._part(mark)
+                ids += marks[mark]
+            out[k] = ids
+        for (k, _), one in zip(rest, self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)):
+            out[k] = one.ids
+        return out
+
     def _add(self, words: list[bytes]):
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, one in zip(words, found):
-            ids = one.ids
-            n, k = len(ids), len(self.index)
-            while self.used + n > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-            if k == len(self.starts):
-                self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
-            self.flat[self.used : self.used + n] = ids
-            self.starts[k], self.lengths[k] = self.used, n
-            self.used += n
-            self.index[word] = k
+        lists = self._encoded(words)
+        n = np.fromiter(map(len, lists), np.int64, len(lists))
+        k, end = len(self.index), self.used + int(n.sum())
+        while end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while k + len(words) > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
+        self.flat[self.used : end] = np.fromiter((i for ids in lists for i in ids), np.uint32, end - self.used)
+        self.starts[k : k + len(words)] = self.used + np.cumsum(n) - n
+        self.lengths[k : k + len(words)] = n
+        self.used = end
+        self.index.update(zip(words, range(k, k + len(words))))
 
     def ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words one after the other, and how many each has."""
         get = self.index.get
         at = np.array([get(w, -1) for w in words], np.int64)
-        if len(at) and at.min() < 0:
-            new = list(dict.fromkeys(words[i] for i in np.flatnonzero(at < 0)))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys([words[i] for i in missing]))
             if len(self.index) + len(new) > MOST_WORDS:
                 self._clear()
-                new = list(dict.fromkeys(words))
+                new, missing = list(dict.fromkeys(words)), range(len(words))
             self._add(new)
             get = self.index.get
-            at = np.array([get(w) for w in words], np.int64)
+            at[missing] = [get(words[i]) for i in missing]
         n = self.lengths[at]
         first = np.cumsum(n) - n
         return self.flat[np.repeat(self.starts[at] - first, n) + np.arange(int(n.sum()))], n
