@@ -48,10 +48,10 @@ def rates(docs: DataFrame, text_col: str, source_col: str, weights: Mapping[str,
         given = F.create_map(*(F.lit(x) for kv in weights.items() for x in (kv[0], float(kv[1])))) if weights else F.create_map().cast("map<string,double>")
         weight = F.coalesce(F.element_at(given, F.col("source")), F.lit(0.0))
     sizes = sizes.withColumn("weight", F.when(F.col("size") > 0, weight).otherwise(F.lit(0.0)))
-    total = sizes.agg(F.sum("size").cast("double").alias("all"), F.sum("weight").alias("weights"))
-    rate = F.col("weight") / F.col("weights") * F.col("all") / F.col("size")
-    # one row of totals beside one row for each source
-    return sizes.join(F.broadcast(total)).select("source", "size", F.when(F.col("size") > 0, rate).alias("rate"))
+    sizes = C.stored(sizes, "sizes")
+    total = sizes.agg(F.sum("size").cast("double").alias("size"), F.sum("weight").alias("weight")).first()
+    rate = F.col("weight") / F.lit(total.weight or 1.0) * F.lit(total.size) / F.col("size")
+    return sizes.select("source", "size", F.when(F.col("size") > 0, rate).alias("rate"))
 
 
 def _cumulative(rate: Column) -> Column:
