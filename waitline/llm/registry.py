@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, simhash, substring
-from .common import table
+from . import mixing, packing, quality, simhash, substring, tokenfile
+from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,6 +95,13 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query("op8_token_file")
+def op8_token_file(spark, sf_dir):
+    path = scratch_path(spark, "token-file")
+    tokenfile.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return tokenfile.read(spark, path).withColumnRenamed("id", "doc_id")
+
+
 @_query(
     "op9_substring_dedup",
     f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
