@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, simhash, substring, tokenfile
+from . import mixing, packing, quality, simhash, substring, tokenfile, warc
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,13 @@ def op1_distribution_divergence(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query("op2_warc")
+def op2_warc(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    return warc.page_index(warc.read(spark, path, with_payload=False))
+
+
 @_query(
     "op4_poisson_mixing",
     """WITH RECURSIVE s AS (SELECT coalesce(source, '') AS source, sum(coalesce(length(text), 0))::DOUBLE AS size FROM documents GROUP BY 1),
