@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, simhash, substring, tokenfile, warc
+from . import langid, mixing, packing, quality, simhash, substring, tokenfile, warc
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,13 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query("op7_language_id")
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("held_out"))
+    model = langid.learn(docs.where("NOT held_out"))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
 @_query("op8_token_file")
 def op8_token_file(spark, sf_dir):
     path = scratch_path(spark, "token-file")
