@@ -15,6 +15,7 @@ taken only for files whose normaliser and pre-tokenizer are those.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from . import common as C
 
 NAME = "word_bpe_49k.json"
-MOST_WORDS = 400_000  # held in a task's table; it starts anew beyond
+MOST_WORDS = 800_000  # held in a task's table; it starts anew beyond
 
 
 def path_of(name: str = NAME) -> str:
@@ -97,7 +98,13 @@ class WordTable:
         return out
 
     def _add(self, words: list[bytes]):
-        lists = self._encoded(words)
+        on = gc.isenabled()
+        gc.disable()  # many small lists and no cycles: collections would only take time
+        try:
+            lists = self._encoded(words)
+        finally:
+            if on:
+                gc.enable()
         n = np.fromiter(map(len, lists), np.int64, len(lists))
         k, end = len(self.index), self.used + int(n.sum())
         while end > len(self.flat):
