@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, simhash, substring, tokenfile, warc
+from . import langid, mixing, packing, quality, simhash, substring, tokenfile, topk, warc
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,21 @@ def op4_poisson_mixing(spark, sf_dir):
     return mixing.replicated(docs).select("doc_id", "source", "text", "copy")
 
 
+@_query(
+    "op5_pivot_topk",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+                  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+                    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, o.vec_id, list_sum(list_transform(list_zip(q.v, o.v), lambda p: p[1] * p[2]))::BIGINT AS score
+              FROM v q JOIN v o ON q.vec_id % 50 = 0 AND q.vec_id <> o.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+)
+def op5_pivot_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 @_query("op6_best_fit_packing")
 def op6_best_fit_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
