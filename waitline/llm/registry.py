@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, simhash, substring, tokenfile, topk, warc
+from . import langid, mixing, packing, perplexity, quality, simhash, substring, tokenfile, topk, warc
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,14 @@ def op2_warc(spark, sf_dir):
     return warc.page_index(warc.read(spark, path, with_payload=False))
 
 
+@_query("op3_kneser_ney")
+def op3_kneser_ney(spark, sf_dir):
+    """Trusted are the documents that are labelled of good quality and not toxic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return perplexity.classify(docs, trusted).withColumnRenamed("id", "doc_id")
+
+
 @_query(
     "op4_poisson_mixing",
     """WITH RECURSIVE s AS (SELECT coalesce(source, '') AS source, sum(coalesce(length(text), 0))::DOUBLE AS size FROM documents GROUP BY 1),
