@@ -83,9 +83,31 @@ def strip_noise(html) -> Column:
 
 def decode_entities(text) -> Column:
     t = _c(text)
-    for ent, ch in ENTITIES:
+    for ent, ch in ENTITIES[:-1]:
         t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    t = F.when(t.contains("&#"), _decode_references(t)).otherwise(t)
+    return F.replace(t, F.lit(ENTITIES[-1][0]), F.lit(ENTITIES[-1][1]))
+
+
+REFERENCE = "&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def _decode_references(t: Column) -> Column:
+    """Numeric character references as characters; that of the ampersand last,
+    so what it makes is not decoded again. Numbers that are no character stay."""
+
+    def decoded(text, ref):
+        body = F.regexp_extract(ref, REFERENCE, 1)
+        is_hex = F.lower(F.substring(body, 1, 1)) == "x"
+        number = F.when(is_hex, F.conv(F.substring(body, 2, 6), 16, 10)).otherwise(body).cast("bigint")
+        ok = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(ok, F.replace(text, ref, char)).otherwise(text)
+
+    refs = F.array_distinct(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0)))
+    is_amp = lambda r: F.lower(r).isin("&#38;", "&#x26;")
+    ordered = F.concat(F.filter(refs, lambda r: ~is_amp(r)), F.filter(refs, is_amp))
+    return F.aggregate(ordered, t, decoded)
 
 
 def element_texts(html, tag: str) -> Column:

@@ -9,17 +9,20 @@ key (``ordered.hot_group_buckets``), so a user holding a third of all events
 is spread over many window partitions; other users stay whole (one range)
 and need no lookup at all:
 
-1. inside a range, a running ``collect_list`` over rows ordered
-   ``(ts, kind, id)`` with the frame ending one row before the current one
-   gives the earlier events of the same range; asks sort before events at the
-   same instant, so equal timestamps are excluded;
+1. inside a range, rows are ordered ``(ts, kind, id)`` (asks before events at
+   the same instant, so equal timestamps are excluded) and numbered by the
+   asks before them; the events between two asks become one chunk, and a
+   running concat over chunks, one row per ask, gives each ask the earlier
+   events of its range. No list is built at an event row;
 2. per range, the range's own event names (bounded by the range size);
-3. per user, a running concat over the ranges before the current one (one
-   row per range);
+3. a range with asks gets the names of its user's earlier ranges: each range's
+   names go to the later ranges that have asks, and are joined there, one task
+   per range, not per user;
 4. an ask's list is (3) of its range followed by (1).
 
-No (ask, event) pair is ever materialised and no user's timeline goes to a
-single task; the only growth is the output itself.
+No (ask, event) pair is ever materialised; the only growth is the output
+itself, the list of all earlier names of each ask, which is one value.
+An ask without a user or a time has no earlier events.
 """
 
 from __future__ import annotations
@@ -67,21 +70,40 @@ def prior_events(
         F.col(ev_name).cast("string").alias("_name"),
     ).where(F.col("_user").isNotNull() & F.col("_ts").isNotNull())
 
-    timeline = a.where(F.col("_user").isNotNull()).unionByName(e)
+    dated = F.col("_user").isNotNull() & F.col("_ts").isNotNull()
+    timeline = a.where(dated).unionByName(e)
     b, any_split = hot_group_buckets(
         timeline, ["_user"], numeric_key(F.col("_ts"), "timestamp"), rows_per_split
     )
 
     order = [F.col("_ts"), F.col("_kind"), F.col("_id")]
-    w_in = (
+    earlier = (
         Window.partitionBy("_user", "_bucket")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    names = F.when(F.col("_kind") == 1, F.col("_name"))
+    event = F.when(F.col("_kind") == 1, F.struct(*order, "_name"))
+    asks_before = F.coalesce(F.sum(1 - F.col("_kind")).over(earlier), F.lit(0))
+    chunks = (
+        b.withColumn("_seg", asks_before)
+        .groupBy("_user", "_bucket", "_seg")
+        .agg(
+            F.max(F.when(F.col("_kind") == 0, F.col("_id"))).alias("_id"),
+            F.max(F.col("_kind") == 0).alias("_ask"),
+            F.transform(F.sort_array(F.collect_list(event)), lambda x: x["_name"]).alias("_names"),
+        )
+    )
+    chunks = chunks.withColumn(
+        "_names", F.filter("_names", lambda x: x.isNotNull())
+    )
+    so_far = (
+        Window.partitionBy("_user", "_bucket")
+        .orderBy("_seg")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     partial = (
-        b.withColumn("_partial", F.collect_list(names).over(w_in))
-        .where(F.col("_kind") == 0)
+        chunks.withColumn("_partial", F.flatten(F.collect_list("_names").over(so_far)))
+        .where("_ask")
         .select("_id", "_user", "_bucket", "_partial")
     )
 
@@ -89,26 +111,24 @@ def prior_events(
     if not any_split:
         lists = partial.select("_id", "_user", F.col("_partial").alias("_all"))
     else:
-        # ranges only exist for users cut into more than one; the others have
-        # an empty prefix and skip this branch
-        per_range = (
-            b.where(F.col("_split"))
+        # only the ranges of split users: one row per range, rows / rows_per_split
+        # of them, which bounds what is broadcast
+        split = b.where("_split")
+        asking = split.where(F.col("_kind") == 0).select("_user", F.col("_bucket").alias("_to")).distinct()
+        names = (
+            split.where((F.col("_kind") == 1) & F.col("_name").isNotNull())
             .groupBy("_user", "_bucket")
-            .agg(
-                F.sort_array(
-                    F.collect_list(F.when(F.col("_kind") == 1, F.struct(*order, "_name")))
-                ).alias("_evs")
-            )
+            .agg(F.sort_array(F.collect_list(F.struct(*order, "_name"))).alias("_evs"))
+            .select("_user", "_bucket", F.transform("_evs", lambda x: x["_name"]).alias("_evs"))
         )
-        w_prev = Window.partitionBy("_user").orderBy("_bucket").rowsBetween(
-            Window.unboundedPreceding, -1
+        targets = asking.groupBy("_user").agg(F.collect_list("_to").alias("_tos"))
+        sent = names.join(F.broadcast(targets), "_user").select(
+            "_user", "_bucket", "_evs", F.explode(F.filter("_tos", lambda t: t > F.col("_bucket"))).alias("_to")
         )
-        prefix = per_range.select(
-            "_user",
-            "_bucket",
-            F.flatten(
-                F.collect_list(F.transform("_evs", lambda x: x["_name"])).over(w_prev)
-            ).alias("_prefix"),
+        prefix = (
+            sent.groupBy("_user", F.col("_to").alias("_bucket"))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col("_bucket").alias("_from"), "_evs"))).alias("_parts"))
+            .select("_user", "_bucket", F.flatten(F.transform("_parts", lambda x: x["_evs"])).alias("_prefix"))
         )
         lists = partial.join(prefix, ["_user", "_bucket"], "left").select(
             "_id", "_user", F.concat(F.coalesce("_prefix", empty), "_partial").alias("_all")
@@ -122,13 +142,13 @@ def prior_events(
     )
     if how == "inner":
         return out.where(F.col("n_badges") > 0)
-    no_user = asks.where(F.col(ask_user).isNull()).select(
-        F.col(ask_id).cast("bigint").alias("id"),
-        F.lit(None).cast("bigint").alias("userid"),
+    undated = a.where(~dated).select(
+        F.col("_id").alias("id"),
+        F.col("_user").alias("userid"),
         F.lit("").alias("badges"),
         F.lit(0).cast("bigint").alias("n_badges"),
     )
-    return out.unionByName(no_user)
+    return out.unionByName(undated)
 
 
 def attach_owner(posts: DataFrame, owners: DataFrame, key: str = "id", owner: str = "owneruserid"):

@@ -7,18 +7,31 @@ group above ``rows_per_split`` rows is cut into ranges of its ordering key
 partition ``(g, _bucket)`` stays bounded. Ranges are by value, so ties never
 straddle two ranges and bucket order equals key order. Results stay exact:
 per-range counts (or sums) are turned into offsets by a window over the
-ranges of a group, which has only about ``n / rows_per_split`` rows.
+ranges of a group, which has only about ``n / rows_per_split`` rows. Null
+groups are groups of their own, as in a window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_SPLIT = 2_000_000
 
+# sampled keys per wanted range, from which its boundaries are taken
+SAMPLES_PER_RANGE = 64
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``cols`` where null equals null; the left columns stay."""
+    names = {c: f"_r_{c}" for c in cols}
+    r = right.withColumnsRenamed(names)
+    on = reduce(lambda x, y: x & y, [left[c].eqNullSafe(r[names[c]]) for c in cols])
+    return left.join(r, on, how).drop(*names.values())
+
 
 def numeric_key(c: Column, dtype: str) -> Column:
     """A double key with the same order as ``c`` (timestamps as microseconds)."""
@@ -30,12 +43,36 @@ def numeric_key(c: Column, dtype: str) -> Column:
     return c.cast("double")
 
 
-# equal key slices per wanted range before merging by count
-FINE_PER_RANGE = 8
+def _boundaries(k: DataFrame, hot: DataFrame, group_cols: Sequence[str], rows_per_split: int) -> DataFrame:
+    """One row per hot group with its ascending range boundaries ``_bounds``
+    (first key of each range but the lowest): quantiles of a random sample,
+    about ``SAMPLES_PER_RANGE`` keys per range, of the key's own type. Brought
+    to the driver once (rows / rows_per_split boundaries in all), so every
+    later use sees the same ranges."""
+    spark = k.sparkSession
+    fraction = min(1.0, SAMPLES_PER_RANGE / rows_per_split)
+    sample = k.select(*group_cols, "_k").where(F.col("_k").isNotNull() & (F.rand(7) < fraction))
+    if group_cols:
+        sample = null_safe_join(sample, F.broadcast(hot.select(*group_cols, "_n")), group_cols, "inner")
+    else:
+        sample = sample.withColumn("_n", F.lit(hot.first()["_n"]))
+    ranges = F.ceil(F.max("_n") / F.lit(rows_per_split)).cast("int")
+    per = sample.groupBy(*group_cols).agg(ranges.alias("_r"), F.array_sort(F.collect_list("_k")).alias("_s"))
+    cut = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("_r") - 1, F.lit(1))),
+        lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_r")).cast("int")),
+    )
+    per = per.select(*group_cols, F.array_distinct(cut).alias("_bounds"))
+    return spark.createDataFrame(per.collect(), per.schema)
+
 
-# hot groups are broadcast to the split step only below this many groups;
-# beyond it the (still small) table is shuffle-joined instead
-HOT_BROADCAST_LIMIT = 1_000_000
+def _range_of(key: Column, bounds: str, step: int = 32) -> Column:
+    """How many of the ascending boundaries are <= key (0 for a null key):
+    first among every ``step``-th, then within the one stretch that holds it."""
+    coarse = F.filter(bounds, lambda x, i: (i % step == 0) & (x <= key))
+    at = F.greatest(F.size(coarse) - 1, F.lit(0)) * step
+    fine = F.filter(F.slice(bounds, at + 1, F.lit(step)), lambda x: x <= key)
+    return (at + F.size(fine)).cast("int")
 
 
 def hot_group_buckets(
@@ -43,74 +80,38 @@ def hot_group_buckets(
     group_cols: Sequence[str],
     key: Column,
     rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
+    nulls_last: bool = False,
 ) -> tuple[DataFrame, bool]:
     """Add ``_bucket`` (key range within the group) and ``_split``; return
     (frame, any group split?). Only groups above ``rows_per_split`` rows
     are cut; the others are one range.
 
-    The per-group statistics are a partial + final aggregate; only the hot
-    groups (at most ``rows / rows_per_split`` of them) are joined back,
-    broadcast when their count is under ``HOT_BROADCAST_LIMIT``. Ordinary
-    groups get range 0 without any join, so the data is not shuffled for
-    the lookup. A hot group's key span is cut into ``FINE_PER_RANGE`` equal
-    slices per wanted range, slices are counted, and consecutive slices are
-    merged by running count into ranges of about ``rows_per_split`` rows, so
-    a bursty group is balanced by rows, not by key span. Slices never split
-    equal keys, so range order is key order and results stay exact.
+    Group sizes are a partial + final aggregate; the hot groups (at most
+    ``rows / rows_per_split`` of them, which bounds what is broadcast) get
+    boundaries at the quantiles of a sample, so outliers and bursts do not
+    matter; equal keys stay in one range. Ordinary groups get range 0, and
+    without hot groups the data is not touched. Null keys go to the lowest
+    range, or the highest (``nulls_last``).
     """
     k = df.withColumn("_k", key)
-    if not group_cols:
-        # one global group: its statistics are three scalars, no join
-        row = k.agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")
-        ).first()
-        if row["_n"] <= rows_per_split:
-            out = k.drop("_k").withColumn("_bucket", F.lit(0)).withColumn("_split", F.lit(False))
-            return out, False
-        j = k.select(
-            "*",
-            F.lit(row["_n"]).cast("bigint").alias("_n"),
-            F.lit(row["_lo"]).cast("double").alias("_lo"),
-            F.lit(row["_hi"]).cast("double").alias("_hi"),
-        )
+    hot = k.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_split)
+    found = hot.collect()
+    if not found:
+        return k.drop("_k").withColumn("_bucket", F.lit(0)).withColumn("_split", F.lit(False)), False
+    hot = df.sparkSession.createDataFrame(found, hot.schema)
+    bounds = _boundaries(k, hot, group_cols, rows_per_split)
+    if group_cols:
+        j = null_safe_join(k, F.broadcast(hot), group_cols, "left")
+        j = null_safe_join(j, F.broadcast(bounds), group_cols, "left")
     else:
-        stats = k.groupBy(*group_cols).agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")
-        )
-        hot = stats.where(F.col("_n") > rows_per_split)
-        n_hot = hot.count()
-        if n_hot == 0:
-            out = k.drop("_k").withColumn("_bucket", F.lit(0)).withColumn("_split", F.lit(False))
-            return out, False
-        side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_LIMIT else hot
-        j = k.join(side, list(group_cols), "left")
-    # fine slices: FINE_PER_RANGE equal slices of the key span per wanted
-    # range; only rows of hot groups get one (others: null, range 0)
-    nfine = F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_split)), F.lit(1)) * FINE_PER_RANGE
-    span = F.col("_hi") - F.col("_lo")
-    raw = F.floor((F.col("_k") - F.col("_lo")) / span * nfine)
-    fine = F.when(span > 0, F.least(raw, nfine - 1)).otherwise(F.lit(0)).cast("long")
-    j = j.withColumn("_fine", fine)
-    # rows per fine slice of the hot groups (at most FINE_PER_RANGE * rows /
-    # rows_per_split slices), merged in key order into ranges of about
-    # rows_per_split rows by their running count
-    sizes = j.where(F.col("_n").isNotNull()).groupBy(*group_cols, "_fine").agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-    before = F.sum("_c").over(
-        Window.partitionBy(*group_cols).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranges = sizes.select(
-        *group_cols,
-        "_fine",
-        F.floor(F.coalesce(before, F.lit(0)) / F.lit(rows_per_split)).cast("int").alias("_bucket"),
-    )
-    n_ranges = ranges.count()
-    rside = F.broadcast(ranges) if n_ranges <= HOT_BROADCAST_LIMIT else ranges
-    out = j.join(rside, [*group_cols, "_fine"], "left").withColumn(
-        "_bucket", F.coalesce(F.col("_bucket"), F.lit(0))
-    ).withColumn("_split", F.col("_n").isNotNull())
-    return out.drop("_k", "_lo", "_hi", "_n", "_fine"), True
+        row = bounds.first()
+        cuts = F.array(*map(F.lit, row["_bounds"])) if row and row["_bounds"] else F.array()
+        j = k.withColumn("_n", F.lit(found[0]["_n"])).withColumn("_bounds", cuts.cast(bounds.schema["_bounds"].dataType))
+    bucket = F.coalesce(_range_of(F.col("_k"), "_bounds"), F.lit(0))
+    if nulls_last:
+        bucket = F.when(F.col("_k").isNull() & F.col("_bounds").isNotNull(), F.size("_bounds")).otherwise(bucket)
+    out = j.withColumn("_bucket", F.when(F.col("_bounds").isNotNull(), bucket).otherwise(F.lit(0)))
+    return out.withColumn("_split", F.col("_n").isNotNull()).drop("_k", "_n", "_bounds"), True
 
 
 def exact_row_number(
@@ -123,7 +124,7 @@ def exact_row_number(
 ) -> DataFrame:
     """``row_number() over (partition by group order by order_cols)``, split.
 
-    ``key`` is a numeric column ordered like the first of ``order_cols``.
+    ``key`` is a column ordered like the first of ``order_cols`` (any type).
     Adds ``out`` (1-based) and ``_n`` (group size). Groups above
     ``rows_per_split`` rows are ranked in count-balanced key ranges
     (``hot_group_buckets``); range offsets and group sizes come from the
@@ -151,7 +152,7 @@ def exact_row_number(
     local = Window.partitionBy(*g, "_bucket").orderBy(*order_cols)
     ranked = b.withColumn("_local", F.row_number().over(local))
     res = (
-        ranked.join(offsets, [*g, "_bucket"], "inner")
+        null_safe_join(ranked, offsets, [*g, "_bucket"], "inner")
         .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
         .drop("_off", "_local", "_bucket", "_split")
     )
@@ -185,7 +186,7 @@ def running_sums(
     """
     sign = -1.0 if descending else 1.0
     g = list(group_cols)
-    b, split = hot_group_buckets(df, g, key * F.lit(sign), rows_per_split)
+    b, split = hot_group_buckets(df, g, key * F.lit(sign), rows_per_split, nulls_last=descending)
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if not split:
         w = Window.partitionBy(*g).orderBy(oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -206,7 +207,7 @@ def running_sums(
     )
     for v in value_cols:
         b = b.withColumn(f"_l_{v}", F.sum(v).over(w_in))
-    out = b.join(totals, [*g, "_bucket"], "inner")
+    out = null_safe_join(b, totals, [*g, "_bucket"], "inner")
     for v in value_cols:
         out = out.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
     out = out.drop("_bucket", "_split", *[f"_o_{v}" for v in value_cols], *[f"_l_{v}" for v in value_cols])

@@ -47,6 +47,6 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
-def predicted_vs_actual(pred: DataFrame, label: str = "label", prediction: str = "prediction"):
-    """The pairs behind the scatter figures (K6)."""
-    return pred.select(F.col(prediction).alias("prediction"), F.col(label).alias("label"))
+def predicted_vs_actual(pred: DataFrame, label: str = "label", prediction: str = "prediction", keep=()):
+    """The pairs behind the scatter figures (K6), with the columns ``keep``."""
+    return pred.select(*keep, F.col(prediction).alias("prediction"), F.col(label).alias("label"))

@@ -649,9 +649,7 @@ _PART_TAG_TOKENS = f"""list_filter(list_transform({_duck_split_ws(f"lower(regexp
         FROM (SELECT * FROM a UNION ALL SELECT * FROM b)""",
 )
 def weighted_union(spark, d):
-    parts = proxies.part_tags(spark, d).join(
-        proxies.table(spark, d, "part").select("p_partkey", "p_name"), "p_partkey"
-    )
+    parts = proxies.part_tags(spark, d, "p_name")
     name = FE.tfidf_long(parts, "p_partkey", T.word_tokens("p_name"), 1, 1.0)
     tags = FE.tfidf_long(parts, "p_partkey", T.tag_tokens(T.clean_tags("tags")), 1, 1.0)
     u = FE.weighted_union_long({"name": name, "tags": tags}, {"name": UNION_WEIGHT, "tags": UNION_WEIGHT})
@@ -698,16 +696,14 @@ MIN_SUPPORT = 15
 
 @register(
     "tag_itemsets",
-    f"""WITH b AS (SELECT DISTINCT l_orderkey AS k, p_brand AS it FROM lineitem JOIN part ON p_partkey = l_partkey),
-        s1 AS (SELECT it AS a, count(*) AS freq FROM b GROUP BY it HAVING count(*) >= {MIN_SUPPORT}),
-        p2 AS (SELECT x.it AS a, y.it AS b2, count(*) AS freq FROM b x JOIN b y ON x.k = y.k AND x.it < y.it
-               GROUP BY 1, 2 HAVING count(*) >= {MIN_SUPPORT}),
-        p3 AS (SELECT x.it AS a, y.it AS b2, z.it AS c, count(*) AS freq FROM b x
-               JOIN b y ON x.k = y.k AND x.it < y.it JOIN b z ON z.k = x.k AND y.it < z.it
-               GROUP BY 1, 2, 3 HAVING count(*) >= {MIN_SUPPORT})
-        SELECT a AS items, freq, 1 AS size FROM s1
-        UNION ALL SELECT a || ' ' || b2, freq, 2 FROM p2
-        UNION ALL SELECT a || ' ' || b2 || ' ' || c, freq, 3 FROM p3""",
+    f"""WITH RECURSIVE b AS (SELECT DISTINCT l_orderkey AS k, p_brand AS it FROM lineitem JOIN part ON p_partkey = l_partkey),
+        l AS (SELECT k, list_sort(list(it)) AS its FROM b GROUP BY k),
+        sub(k, its, items, last, size) AS (
+            SELECT k, its, '', 0, 0 FROM l
+            UNION ALL
+            SELECT k, its, CASE WHEN size = 0 THEN its[i] ELSE items || ' ' || its[i] END, i, size + 1
+            FROM (SELECT *, unnest(generate_series(last + 1, len(its))) AS i FROM sub WHERE last < len(its)))
+        SELECT items, count(*) AS freq, size FROM sub WHERE size > 0 GROUP BY items, size HAVING count(*) >= {MIN_SUPPORT}""",
 )
 def tag_itemsets(spark, d):
     li = proxies.table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
@@ -715,9 +711,7 @@ def tag_itemsets(spark, d):
     lines = li.join(part, li["l_partkey"] == part["p_partkey"])
     b = IS.baskets(lines, "l_orderkey", F.col("p_brand"))
     sets = IS.frequent_itemsets(b, MIN_SUPPORT)
-    return sets.where(F.col("size") <= 3).select(
-        F.array_join("items", " ").alias("items"), "freq", "size"
-    )
+    return sets.select(F.array_join("items", " ").alias("items"), "freq", "size")
 
 
 # ---------------------------------------------------------------- samples and splits
@@ -744,24 +738,22 @@ def sample_n(spark, d):
 
 @register(
     "half_split",
-    f"""SELECT o_orderkey AS id, CASE WHEN {_duck_hash8('o_orderkey', SEED)} < '{SP.hex_threshold(0.5)}'
+    f"""SELECT o_orderkey AS id, CASE WHEN {_duck_hash8('o_orderkey', SEED)} < '80000000'
                THEN 'train' ELSE 'test' END AS part FROM orders""",
 )
 def half_split(spark, d):
     q = proxies.questions(spark, d).select("id")
-    train, test = SP.half_split(q, "id", SEED)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return q.withColumn("part", F.when(SP.in_fraction("id", 0.5, SEED), "train").otherwise("test"))
 
 
 @register(
     "train_test_split",
-    f"""SELECT doc_id, CASE WHEN {_duck_hash8('doc_id', SEED)} < '{SP.hex_threshold(TEST_SIZE)}'
+    f"""SELECT doc_id, CASE WHEN {_duck_hash8('doc_id', SEED)} < '547ae147'
                THEN 1 ELSE 0 END AS is_test FROM documents JOIN labels USING (doc_id)""",
 )
 def train_test_split(spark, d):
     docs = proxies.labelled_documents(spark, d).select("doc_id")
-    train, test = SP.train_test_split(docs, "doc_id", TEST_SIZE, SEED)
-    return train.withColumn("is_test", F.lit(0)).unionByName(test.withColumn("is_test", F.lit(1)))
+    return docs.withColumn("is_test", SP.in_fraction("doc_id", TEST_SIZE, SEED).cast("int"))
 
 
 @register(
@@ -890,6 +882,68 @@ def mae(spark, d):
     return m.select(F.round("mae", 4).alias("mae"), "n")
 
 
+@register(
+    "predicted_pairs",
+    f"""SELECT id, round(avg(elapsed) OVER (PARTITION BY title), 4) AS prediction, elapsed AS label FROM ({_FIRST_ACCEPTED})""",
+)
+def predicted_pairs(spark, d):
+    """K6: the pairs behind the scatter figures, for the mean wait per title."""
+    t = _first_accepted(spark, d)
+    p = t.join(t.groupBy("title").agg(F.avg("elapsed").alias("prediction")), "title")
+    pairs = profile.predicted_vs_actual(p, "elapsed", "prediction", keep=["id"])
+    return pairs.select("id", F.round("prediction", 4).alias("prediction"), "label")
+
+
+@register(
+    "keep_first_event",
+    """SELECT user_id AS userid, date, id, name FROM (
+           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date, id) AS rn FROM (
+               SELECT event_id AS id, user_id, event_type AS name, ts AS date FROM events WHERE event_type <> 'purchase'))
+       WHERE rn = 1""",
+)
+def keep_first_event(spark, d):
+    """The first badge of each user."""
+    return response.keep_first(proxies.badges(spark, d), "userid", ["date", "id"])
+
+
+@register(
+    "attach_owner",
+    f"""SELECT o_orderkey AS id, min({_el('o_orderdate', 'l_shipdate')}) AS min_elapsed, any_value(o_custkey) AS owneruserid
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
+)
+def attach_owner(spark, d):
+    """Shortest waits with the question's asker."""
+    q, a = _qa(spark, d)
+    from ..operators import history
+
+    return history.attach_owner(response.shortest_elapsed(q, a), q.select("id", "owneruserid"))
+
+
+@register(
+    "typed_rows",
+    """WITH raw AS (SELECT CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE CAST(event_id AS VARCHAR) END AS id,
+                    CAST(user_id AS VARCHAR) AS userid FROM events)
+       SELECT CASE WHEN try_cast(id AS BIGINT) IS NULL THEN 'bad value: id' ELSE 'ok' END AS reason, count(*) AS n
+       FROM raw GROUP BY 1""",
+)
+def typed_rows(spark, d):
+    """A4: rows of strings typed, the others quarantined with a reason."""
+    from .. import schemas
+    from ..sources.dump import type_rows
+
+    ev = proxies.table(spark, d, "events")
+    names = [n for n, _ in schemas.DUMP_TABLES["badges"]]
+    given = {
+        "id": F.when(F.col("event_id") % 7 == 0, "n/a").otherwise(F.col("event_id").cast("string")),
+        "userid": F.col("user_id").cast("string"),
+        "name": F.col("event_type"),
+    }
+    raw = ev.select(*[given.get(n.lower(), F.lit(None)).cast("string").alias(n) for n in names])
+    good, bad = type_rows(raw, "badges")
+    reasons = good.select(F.lit("ok").alias("reason")).unionByName(bad.select("reason"))
+    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- models (rows-only checks)
 
 from . import models as MD  # noqa: E402
@@ -912,11 +966,10 @@ def _text_block(min_df=MIN_DF, max_df=MAX_DF, ngram_max=1, weight=1.0):
 
 
 def _predict_classifier(spark, d, estimator, svd_k=None, weighted=False) -> DataFrame:
-    df = _labelled(spark, d)
-    if weighted:
-        df = FE.with_class_weight(df, "label", "weight")
-    train, test = _split(df, "doc_id")
-    spec = MD.ModelSpec("content", _text_block(), estimator, svd_k=svd_k)
+    train, test = _split(_labelled(spark, d), "doc_id")
+    if weighted:  # balanced on what is fitted; the test half's labels play no part
+        train = FE.with_class_weight(train, "label", "weight")
+    spec = MD.ModelSpec("content", _text_block(), estimator(train.count()), svd_k=svd_k)
     model = spec.fit(train)
     out = model.transform(test)
     cols = ["doc_id", "label", "prediction"]
@@ -940,20 +993,18 @@ def svd_project(spark, d):
 
 @register("model_logistic")
 def model_logistic(spark, d):
-    n = _labelled(spark, d).count()
-    return _predict_classifier(spark, d, MD.logistic(1.0, n), svd_k=20)
+    return _predict_classifier(spark, d, lambda n: MD.logistic(1.0, n), svd_k=20)
 
 
 @register("model_svc")
 def model_svc(spark, d):
-    n = _labelled(spark, d).count()
-    return _predict_classifier(spark, d, MD.linear_svc(1.0, n, weight_col="weight"), weighted=True)
+    return _predict_classifier(spark, d, lambda n: MD.linear_svc(1.0, n, weight_col="weight"), weighted=True)
 
 
 @register("model_rf_class")
 def model_rf_class(spark, d):
     return _predict_classifier(
-        spark, d, MD.forest_classifier(20, 10, weight_col="weight"), svd_k=20, weighted=True
+        spark, d, lambda n: MD.forest_classifier(20, 10, weight_col="weight"), svd_k=20, weighted=True
     )
 
 
@@ -992,6 +1043,18 @@ def model_linear_time(spark, d):
     )
 
 
+@register("numeric_append")
+def numeric_append(spark, d):
+    """Text features with a numeric column beside them."""
+    docs = proxies.labelled_documents(spark, d).withColumn("n_chars", F.col("n_chars").cast("double"))
+    stages = MD.union_stages(_text_block(), ["n_chars"], out="features")
+    out = MD.fit_staged(stages, docs).transform(docs)
+    from pyspark.ml.functions import vector_to_array
+
+    values = vector_to_array("features")
+    return out.select("doc_id", F.size(values).alias("size"), F.element_at(values, -1).alias("last"))
+
+
 @register("cv_topk")
 def cv_topk(spark, d):
     """Grid search in the shape of the reference's logistic variants:
@@ -1021,8 +1084,9 @@ def time_model_eval(spark, d):
     """Three regressors of the wait over one half split, MAE each:
     linear on raw minutes, linear on log10 minutes mapped back by 10**x, and
     a random forest on raw minutes. Output ``variant, mae, n``."""
-    df = _time_rows(spark, d)
-    train, test = SP.train_test_split(df, "id", 0.5, SEED)
+    train, test = SP.train_test_split(_time_rows(spark, d), "id", 0.5, SEED)
+    fitted = MD.fit_staged(MD.union_stages(_time_blocks(), out="features"), train)
+    train, test = (fitted.transform(x).select("elapsed", "features").persist() for x in (train, test))
     out = None
     for name, est, target in (
         ("linear", MD.linear_regression(), "raw"),
@@ -1030,12 +1094,10 @@ def time_model_eval(spark, d):
         ("forest", MD.forest_regressor(30, 10), "raw"),
     ):
         lab = F.col("elapsed") if target == "raw" else F.log10("elapsed")
-        spec = MD.ModelSpec(name, _time_blocks(), est)
-        model = spec.fit(train.withColumn("label", lab))
-        pred = model.transform(test.withColumn("label", lab))
+        pred = est.fit(train.withColumn("label", lab)).transform(test)
         if target == "log10":
             pred = pred.withColumn("prediction", F.pow(F.lit(10.0), "prediction"))
-        m = EV.mean_absolute_error(pred.withColumn("label", F.col("elapsed")), "label", "prediction")
+        m = EV.mean_absolute_error(pred, "elapsed", "prediction")
         m = m.select(F.lit(name).alias("variant"), "mae", "n")
         out = m if out is None else out.unionByName(m)
     return out

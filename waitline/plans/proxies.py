@@ -108,10 +108,11 @@ def badges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def part_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def part_tags(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(
         "p_partkey",
+        *keep,
         F.concat(F.lit("<"), F.col("p_brand"), F.lit("><"), F.col("p_type"), F.lit(">")).alias(
             "tags"
         ),

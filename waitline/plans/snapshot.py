@@ -134,19 +134,22 @@ def run(
     so the XML is parsed once, lineage stays short and a lost executor only
     recomputes the stage at hand. Returns stage -> path.
     """
-    import os
+    import posixpath
 
     def find(name: str) -> str:
+        """By Hadoop's file system, so the dump may lie in any store."""
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for cand in (f"{name.capitalize()}.xml", f"{name}.xml"):
-            p = os.path.join(dump_dir, cand)
-            if os.path.exists(p):
+            p = posixpath.join(dump_dir, cand)
+            at = jvm.org.apache.hadoop.fs.Path(p)
+            if at.getFileSystem(conf).exists(at):
                 return p
-        return os.path.join(dump_dir, f"{name}.xml")
+        return posixpath.join(dump_dir, f"{name}.xml")
 
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        path = os.path.join(out_dir, name)
+        path = posixpath.join(out_dir, name)
         write_stage(df, path, starting_date)
         paths[name] = path
         return read_stage(spark, path, starting_date, schema=df.schema)

@@ -22,6 +22,7 @@ from ..functions.text import english_stop_words
 from . import models as MD
 from . import tuning as TU
 
+# fixed values: the list itself is a constant, nothing is read at import
 STOP = english_stop_words()
 
 
@@ -51,6 +52,7 @@ class Variant:
     folds: int = 3
     svd: bool = False
     label: str = "success"
+    normalize: bool = False  # unit rows between SVD and estimator
 
     def feature_grid(self) -> dict:
         return {k: v for k, v in self.grid.items() if "." in k or k == "svd_k"}
@@ -66,7 +68,12 @@ class Variant:
         if not self.svd:
             return MD.union_stages(blocks, tokenize=tokenize)
         stages = MD.union_stages(blocks, out="features_raw", tokenize=tokenize)
-        return [*stages, MD.TruncatedSvd("features_raw", "features", params.get("svd_k", 100))]
+        k = params.get("svd_k", 100)
+        if not self.normalize:
+            return [*stages, MD.TruncatedSvd("features_raw", "features", k)]
+        from pyspark.ml.feature import Normalizer
+
+        return [*stages, MD.TruncatedSvd("features_raw", "features_svd", k), Normalizer(inputCol="features_svd", outputCol="features", p=2.0)]
 
 
 def _weighted(blocks: dict, w: float) -> dict:
@@ -138,6 +145,7 @@ VARIANTS: dict[str, Variant] = {
         lambda p, n: MD.forest_classifier(20, p["depth"]),
         {"badges.max_df": [1.0], "badges.min_df": [2], "depth": [20], "svd_k": [512]},
         svd=True,
+        normalize=True,
     ),
     "badge_time": Variant(
         "badge_time",
@@ -176,6 +184,21 @@ VARIANTS: dict[str, Variant] = {
         svd=True,
         label="log_elapsed",
     ),
+    # trees without a depth limit there; MLlib's limit here
+    "combined_forest_time": Variant(
+        "combined_forest_time",
+        {"title": _title(), "paragraphs": _paragraphs(), "tags": _tags()},
+        lambda p, n: MD.forest_regressor(30, MD.MAX_TREE_DEPTH),
+        {
+            "title.max_df": [0.6], "title.min_df": [2],
+            "paragraphs.max_df": [0.6], "paragraphs.min_df": [8], "paragraphs.ngram_max": [1],
+            "tags.max_df": [0.6], "tags.min_df": [2], "svd_k": [100],
+        },
+        kind="regression",
+        folds=2,
+        svd=True,
+        label="elapsed",
+    ),
     "badges_logistic": Variant(
         "badges_logistic",
         {"badges": _badges()},

@@ -1,14 +1,9 @@
-"""Spark session defaults for local runs and the checkpoint folder rule.
-
-On a cluster the session is created by the platform; only
-``ensure_checkpoint_dir`` matters there: it reads ``spark.checkpoint.dir``
-and never replaces a folder the cluster already names.
-"""
+"""Spark session defaults for local runs; on a cluster the platform makes the
+session."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -37,23 +32,4 @@ def local_session(
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset.
-
-    A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    is always kept. Only a session without it (local tests) gets a fresh
-    folder under the system temp directory.
-    """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if not path:
-        path = tempfile.mkdtemp(prefix="waitline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path

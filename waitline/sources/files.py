@@ -91,19 +91,11 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def write_stage(df: DataFrame, path: str, starting_date: str, key: str = "starting_date") -> None:
     """Stage output keyed by snapshot date.
 
-    Written as parquet partitioned by ``starting_date`` with dynamic partition
-    overwrite: re-running one date replaces only that date's folder, and a
-    reader filtering on the date prunes the others.
+    Written as parquet into that date's partition folder, which is replaced
+    whole: re-running a date that now has no rows leaves none, other dates
+    stay, and a reader filtering on the date prunes them.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.withColumn(key, F.lit(starting_date)).write.mode("overwrite").partitionBy(key).parquet(
-            path
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    df.drop(key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{key}={starting_date}")
 
 
 def read_stage(
