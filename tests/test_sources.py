@@ -98,7 +98,7 @@ def test_svd_matches_numpy(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     x = np.array([r.embedding for r in e.orderBy("vec_id").collect()], dtype=np.float64)
     v = e.select("vec_id", array_to_vector("embedding").alias("v"))
-    m = MD.TruncatedSvd("v", "p", 4).fit(v)
+    m = MD.TruncatedSvd("v", "p", 4, algorithm="exact").fit(v)
     got = np.array([r.p for r in m.transform(v).orderBy("vec_id").select(vector_to_array("p").alias("p")).collect()])
     _, s, vt = np.linalg.svd(x, full_matrices=False)
     # flat spectrum: captured energy is near the optimum
@@ -110,7 +110,7 @@ def test_svd_matches_numpy(spark):
     y = u0 @ np.diag([50, 30, 20, 10, 5, 2.0]) @ v0.T + 0.01 * rng.standard_normal((300, 40))
     ydf = spark.createDataFrame([(i, y[i].tolist()) for i in range(300)], "i int, a array<double>")
     ydf = ydf.select("i", array_to_vector("a").alias("v"))
-    m2 = MD.TruncatedSvd("v", "p", 3).fit(ydf)
+    m2 = MD.TruncatedSvd("v", "p", 3, algorithm="exact").fit(ydf)
     got2 = np.array([r.p for r in m2.transform(ydf).orderBy("i").select(vector_to_array("p").alias("p")).collect()])
     _, _, vt2 = np.linalg.svd(y, full_matrices=False)
     want2 = y @ vt2[:3].T
@@ -124,7 +124,6 @@ def test_randomized_svd_path(spark, monkeypatch):
 
     from waitline.plans import models as MD
 
-    monkeypatch.setattr(MD, "EXACT_SVD_MAX_DIM", 0)
     rng = np.random.default_rng(1)
     u0 = np.linalg.qr(rng.standard_normal((300, 5)))[0]
     v0 = np.linalg.qr(rng.standard_normal((60, 5)))[0]
@@ -137,3 +136,63 @@ def test_randomized_svd_path(spark, monkeypatch):
     want = y @ vt[:3].T
     for j in range(3):
         assert abs(np.corrcoef(got[:, j], want[:, j])[0, 1]) > 0.9999
+
+
+def test_lemma_model_save_and_load(spark):
+    from waitline.plans import models as MD
+
+    d = _tmp()
+    df = spark.createDataFrame(
+        [(i, f"cat cats dog{'s' * (i % 2)} box boxes word{i % 3}", float(i % 2)) for i in range(40)],
+        "id bigint, text string, label double",
+    )
+    spec = MD.ModelSpec("t", {"text": MD.TextBlock("text", "lemmas")}, MD.logistic(1.0, 40))
+    m = spec.pipeline().fit(df)
+    MD.save_model(m, f"{d}/model")
+    again = MD.load_model(f"{d}/model")
+    a = [r.prediction for r in m.transform(df).orderBy("id").collect()]
+    b = [r.prediction for r in again.transform(df).orderBy("id").collect()]
+    assert a == b
+    tokens = again.stages[1].transform(again.stages[0].transform(df)).first()
+    assert "cats" not in tokens[again.stages[1].outputCol]
+
+
+def test_stage_rerun_without_rows_clears_its_date(spark):
+    d = _tmp()
+    df = spark.createDataFrame([(1, "a")], "id bigint, name string")
+    files.write_stage(df, f"{d}/stage", "2016-02-01")
+    files.write_stage(df, f"{d}/stage", "2016-02-02")
+    files.write_stage(df.limit(0), f"{d}/stage", "2016-02-01")
+    assert files.read_stage(spark, f"{d}/stage", "2016-02-01", schema=df.schema).count() == 0
+    assert files.read_stage(spark, f"{d}/stage", "2016-02-02", schema=df.schema).count() == 1
+    assert files.read_stage(spark, f"file://{d}/stage", "2016-02-02").columns == df.columns
+
+
+def test_numeric_entities(spark):
+    from waitline.functions.html import decode_entities
+
+    df = spark.createDataFrame([("&#65;&#x42;&#8217; &#38;lt; &amp;#65; &#0;&#xD800; &#128578;&#x1F642; &lt;",)], "t string")
+    got = df.select(decode_entities("t").alias("t")).first().t
+    assert got == "AB’ &lt; &#65; &#0;&#xD800; \U0001f642\U0001f642 <"
+
+
+def test_used_settings_are_honest():
+    import warnings
+
+    from waitline.plans.tuning import used_settings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        got = used_settings([{"depth": d, "C": 1} for d in (10, 30, 40, 60)])
+    assert got == [{"depth": 10, "C": 1}, {"depth": 30, "C": 1}]
+
+
+def test_badge_success_normalises_between_svd_and_forest():
+    from pyspark.ml.feature import Normalizer
+
+    from waitline.plans import models as MD
+    from waitline.plans.variants import VARIANTS
+
+    stages = VARIANTS["badge_success"].feature_stages({"badges.min_df": 2, "svd_k": 8})
+    assert isinstance(stages[-1], Normalizer) and isinstance(stages[-2], MD.TruncatedSvd)
+    assert "combined_forest_time" in VARIANTS

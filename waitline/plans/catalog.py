@@ -987,7 +987,7 @@ def svd_project(spark, d):
     e = proxies.table(spark, d, "embeddings").select(
         "vec_id", array_to_vector("embedding").alias("v")
     )
-    m = MD.TruncatedSvd("v", "p", SVD_K).fit(e)
+    m = MD.TruncatedSvd("v", "p", SVD_K, algorithm="exact").fit(e)
     return m.transform(e).select("vec_id", vector_to_array("p").alias("components"))
 
 
