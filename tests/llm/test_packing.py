@@ -22,7 +22,7 @@ def encoded(text):
     return Tokenizer.from_file(K.path_of()).encode(text or "", add_special_tokens=False).ids
 
 
-ODD = ["<|endoftext|> a <|startoftext|>b", "Ünḯcode wörd x\x85y", "it's I'VE don't'll 12345 \U0001f642\U0001f642 漢字", "J̌ ǰ İ ΣΑΣ", "\x00 \x1f\x1c a​b", " \t\n\x0b\f\r", "", "e\ń x", "x" * 3000, "\u00c9cole, STRASSE: \u00df\u00ff\u00fe\u00f0\u00d7\u00f7 \u00c0\u00d6\u00d8\u00f6\u00f8! na\u0303o \u00aa\u00ba \u00b5 a.. b., C!", "isn't, it's. o'clock, 'the' I'M"]
+ODD = ["<|endoftext|> a <|startoftext|>b", "Ünḯcode wörd x\x85y", "it's I'VE don't'll 12345 \U0001f642\U0001f642 漢字", "J̌ ǰ İ ΣΑΣ", "\x00 \x1f\x1c a​b", " \t\n\x0b\f\r", "", "e\ń x", "x" * 3000, f"{'y' * 64} a {'z' * 65}, b {'w' * 900} {'z' * 65}, c" * 9, "\u00c9cole, STRASSE: \u00df\u00ff\u00fe\u00f0\u00d7\u00f7 \u00c0\u00d6\u00d8\u00f6\u00f8! na\u0303o \u00aa\u00ba \u00b5 a.. b., C!", "isn't, it's. o'clock, 'the' I'M"]
 
 
 def test_ids_equal_those_of_whole_texts(monkeypatch):
@@ -31,7 +31,7 @@ def test_ids_equal_those_of_whole_texts(monkeypatch):
     texts = ODD + [None] + pq.read_table(f"{SF}/documents.parquet").to_pydict()["text"]
     whole = Tokenizer.from_file(K.path_of())
     want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
-    for most, piece in ((400_000, 1 << 20), (50, 500)):
+    for most, piece in ((500_000, 1 << 20), (50, 500), (3000, 1 << 14)):
         monkeypatch.setattr(K, "MOST_WORDS", most)
         got = [x.tolist() for x in K.documents(K.WordTable(K.path_of()), pa.array(texts), piece)]
         assert got == want

@@ -84,6 +84,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _IS_SPACE[data]
+
+
 def slices(offsets: np.ndarray, most: int):
     """Ranges [i, j) of texts of about ``most`` bytes together, one text at least."""
     i, n = 0, len(offsets) - 1

@@ -2,7 +2,9 @@
 
 The tokenizer drops white space, so the ids of a text are those of its words
 (runs without ASCII white space) one after the other, and each distinct word is
-encoded once in a task. That holds for tokenizers whose pre-tokenizer never
+encoded once in a task: a table of arrays, looked up for all words of a slice at
+a time, knows words of up to ``LONGEST`` bytes by a 64-bit hash (with a full table
+two of its words share one with a probability of about 1e-8). That holds for tokenizers whose pre-tokenizer never
 keeps or crosses white space, such as ``word_bpe_49k.json``; ``ids_of`` is
 tested against encoding whole texts.
 
@@ -25,7 +27,8 @@ import pyarrow as pa
 from . import common as C
 
 NAME = "word_bpe_49k.json"
-MOST_WORDS = 800_000  # held in a task's table; it starts anew beyond
+MOST_WORDS = 500_000  # held in a task's table; it starts anew beyond
+LONGEST = 64  # bytes of a word that the table holds
 
 
 def path_of(name: str = NAME) -> str:
@@ -69,17 +72,41 @@ class WordTable:
         self._clear()
 
     def _clear(self):
-        self.index: dict[bytes, int] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.keys, self.entry = np.zeros(1 << 17, np.uint64), np.zeros(1 << 17, np.int32)
         self.flat, self.used = np.empty(1 << 18, np.uint32), 0
-        self.starts, self.lengths = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.starts, self.lengths, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32), 0
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The entry of each hash, or -1 (open addressing, all at a time)."""
+        out = np.full(len(h), -1, np.int64)
+        mask = len(self.keys) - 1
+        slot, left = (h & np.uint64(mask)).astype(np.int64), np.arange(len(h))
+        while len(left):
+            key = self.keys[slot]
+            hit = key == h[left]
+            out[left[hit]] = self.entry[slot[hit]]
+            go = ~hit & (key != 0)
+            left, slot = left[go], (slot[go] + 1) & mask
+        return out
+
+    def _insert(self, h: np.ndarray, entry: np.ndarray):
+        """New, distinct hashes."""
+        mask = len(self.keys) - 1
+        slot, left = (h & np.uint64(mask)).astype(np.int64), np.arange(len(h))
+        while len(left):
+            free = np.flatnonzero(self.keys[slot] == 0)
+            self.keys[slot[free]] = h[left[free]]  # the last of equal slots stays
+            won = np.zeros(len(left), bool)
+            won[free] = self.keys[slot[free]] == h[left[free]]
+            self.entry[slot[won]] = entry[left[won]]
+            left, slot = left[~won], (slot[~won] + 1) & mask
 
     def _part(self, part: str) -> list[int]:
         return [t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.characters))]
 
     def _encoded(self, words: list[bytes]) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(words)
-        rest, marks, plain = [], self.parts, _PLAIN.fullmatch
+        rest, marks, plain = [], {}, _PLAIN.fullmatch
         for k, word in enumerate(words):
             text = word.decode()
             found = plain(text) if self.model else None
@@ -97,7 +124,7 @@ class WordTable:
             out[k] = one.ids
         return out
 
-    def _add(self, words: list[bytes]):
+    def _add(self, h: np.ndarray, words: list[bytes]):
         on = gc.isenabled()
         gc.disable()  # many small lists and no cycles: collections would only take time
         try:
@@ -106,7 +133,7 @@ class WordTable:
             if on:
                 gc.enable()
         n = np.fromiter(map(len, lists), np.int64, len(lists))
-        k, end = len(self.index), self.used + int(n.sum())
+        k, end = self.size, self.used + int(n.sum())
         while end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         while k + len(words) > len(self.starts):
@@ -114,50 +141,71 @@ class WordTable:
         self.flat[self.used : end] = np.fromiter((i for ids in lists for i in ids), np.uint32, end - self.used)
         self.starts[k : k + len(words)] = self.used + np.cumsum(n) - n
         self.lengths[k : k + len(words)] = n
-        self.used = end
-        self.index.update(zip(words, range(k, k + len(words))))
-
-    def ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the words one after the other, and how many each has."""
-        get = self.index.get
-        at = np.array([get(w, -1) for w in words], np.int64)
-        missing = np.flatnonzero(at < 0).tolist()
-        if missing:
-            new = list(dict.fromkeys([words[i] for i in missing]))
-            if len(self.index) + len(new) > MOST_WORDS:
+        self.used, self.size = end, k + len(words)
+        if 2 * self.size > len(self.keys):
+            old = np.flatnonzero(self.keys)
+            keys, entry = self.keys[old], self.entry[old]
+            size = C.power_of_two(3 * self.size, len(self.keys))
+            self.keys, self.entry = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._insert(keys, entry)
+        self._insert(h, np.arange(k, self.size))
+
+    def ids_of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words data[starts:ends] one after the other, and how many
+        each has."""
+        h = np.maximum(C.word_hashes(data, starts, ends), np.uint64(1))
+        long = np.flatnonzero(ends - starts > LONGEST)
+        if len(long):
+            h[long] = 0
+        at = self._find(h)
+        missing = np.flatnonzero((at < 0) & (h > 0))
+        raw = data.tobytes() if len(missing) or len(long) else b""
+        if len(missing):
+            new, first = np.unique(h[missing], return_index=True)
+            if self.size + len(new) > MOST_WORDS:
                 self._clear()
-                new, missing = list(dict.fromkeys(words)), range(len(words))
-            self._add(new)
-            get = self.index.get
-            at[missing] = [get(words[i]) for i in missing]
-        n = self.lengths[at]
+                missing = np.flatnonzero(h > 0)
+                new, first = np.unique(h[missing], return_index=True)
+            w = missing[first]
+            self._add(new, [raw[a:b] for a, b in zip(starts[w].tolist(), ends[w].tolist())])
+            at[missing] = self._find(h[missing])
+        at = np.maximum(at, 0)
+        n = self.lengths[at].astype(np.int64)
+        n[long] = 0
         first = np.cumsum(n) - n
-        return self.flat[np.repeat(self.starts[at] - first, n) + np.arange(int(n.sum()))], n
+        ids = self.flat[np.repeat(self.starts[at] - first, n) + np.arange(int(n.sum()))]
+        if len(long):
+            found = [np.array(x, np.uint32) for x in self._encoded([raw[a:b] for a, b in zip(starts[long].tolist(), ends[long].tolist())])]
+            ids = np.insert(ids, np.repeat(first[long], list(map(len, found))), np.concatenate(found))
+            n[long] = list(map(len, found))
+        return ids, n
 
 
 def documents(table: WordTable, column: pa.Array, piece: int = 1 << 20):
     """For each text of a column in turn: its ids, in arrays of about ``piece``
     bytes of text (one at least); a null is an empty text."""
     data, offsets = C.text_bytes(column)
-    raw = memoryview(data)
     for i, j in C.slices(offsets, piece):
-        if j == i + 1 and offsets[j] - offsets[i] > piece:
-            yield _long(table, bytes(raw[offsets[i] : offsets[j]]), piece)
+        own = data[offsets[i] : offsets[j]]
+        if j == i + 1 and len(own) > piece:
+            yield _long(table, own, piece)
             continue
-        lists = [bytes(raw[a:b]).split() for a, b in zip(offsets[i:j], offsets[i + 1 : j + 1])]
-        ids, n = table.ids_of([w for ws in lists for w in ws])
-        edges = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *map(len, lists)])]
+        starts, ends, first = C.words_of(own, offsets[i : j + 1] - offsets[i])
+        ids, n = table.ids_of(own, starts, ends)
+        edges = np.concatenate([[0], np.cumsum(n)])[first]
         for a, b in zip(edges[:-1], edges[1:]):
             yield ids[a:b]
 
 
-def _long(table: WordTable, raw: bytes, piece: int) -> np.ndarray:
-    words, parts, i = raw.split(), [], 0
-    while i < len(words):
-        j, size = i, 0
-        while j < len(words) and size <= piece:
-            size += len(words[j])
-            j += 1
-        parts.append(table.ids_of(words[i:j])[0])
+def _long(table: WordTable, data: np.ndarray, piece: int) -> np.ndarray:
+    """Of one text, cut where a word ends."""
+    parts, i = [], 0
+    while i < len(data):
+        j = i + piece
+        while j < len(data) and not C.is_space(data[j : j + piece]).any():
+            j += piece
+        j = min(len(data), j + int(C.is_space(data[j : j + piece]).argmax())) if j < len(data) else len(data)
+        starts, ends, _ = C.words_of(data[i:j], np.array([0, j - i]))
+        parts.append(table.ids_of(data[i:j], starts, ends)[0])
         i = j
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
