@@ -44,6 +44,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of short keys that are broadcast at most (about 64 MB); more are shuffled.
+MOST_BROADCAST = 1_000_000
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """``keys`` (stored, short rows) marked for a broadcast if it has no more than
+    MOST_BROADCAST rows; beyond that a join shuffles both sides."""
+    return F.broadcast(keys) if keys.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else keys
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have (case ignored)."""
     taken = {c.lower() for c in df.columns}

@@ -372,11 +372,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row of each component, that of the smallest id (of rows
     that share it, any one); rows with a null id stay."""
     found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    own, n = C.free_name(docs, "_id"), C.free_name(docs, "_n")
-    keep = found.where("id = component").groupBy(F.col("id").alias(own)).agg(F.count(F.lit(1)).alias(n))
-    keep = C.stored(keep, "keep")
-    out = docs.join(keep, docs[id_col].cast("long") == F.col(own), "left").where(F.col(own).isNotNull() | docs[id_col].isNull())
-    if keep.where(F.col(n) > 1).head(1):  # rows share a kept id: one of them stays
-        several = F.coalesce(F.col(n) > 1, F.lit(False))
-        out = out.where(~several).unionByName(out.where(several).dropDuplicates([id_col]))
-    return out.drop(own, n)
+    own, is_own = F.col("id").alias("own"), F.col("id") == F.col("component")
+    ids = C.stored(found.where("id IS NOT NULL").groupBy(own).agg(F.max(is_own).alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
+    gone, several = ids.where("NOT stays").select("own"), ids.where("stays AND n > 1").select("own")
+    key = docs[id_col].cast("long")
+    out = docs.join(C.few(gone), key == gone["own"], "left_anti")
+    if several.head(1):  # rows share an id that stays: one of them does
+        same = out.join(C.few(several), key == several["own"], "left_semi").dropDuplicates([id_col])
+        out = out.join(C.few(several), key == several["own"], "left_anti").unionByName(same)
+    return out
