@@ -83,3 +83,11 @@ def test_prior_badges_has_no_pair_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     # asks and events are never joined to each other on the user
     assert "SortMergeJoin" not in plan
+
+
+def test_numeric_column_is_the_last_feature(spark):
+    import __spark_entry__ as E
+
+    got = E.queries()["numeric_append"](spark, "/root/testdata/sf0.001").collect()
+    chars = {r.doc_id: r.n_chars for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert got and len({r.size for r in got}) == 1 and all(r.last == chars[r.doc_id] for r in got)
