@@ -91,3 +91,14 @@ def test_numeric_column_is_the_last_feature(spark):
     got = E.queries()["numeric_append"](spark, "/root/testdata/sf0.001").collect()
     chars = {r.doc_id: r.n_chars for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     assert got and len({r.size for r in got}) == 1 and all(r.last == chars[r.doc_id] for r in got)
+
+
+@pytest.mark.parametrize("name", ["tfidf_weights", "lemma_terms"])
+def test_texts_are_scanned_once(spark, name):
+    """The final adaptive plan reads the texts once; the other branches reuse
+    its exchange."""
+    out = E.queries()[name](spark, "/root/testdata/sf0.001")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "text" in ln]
+    assert len(scans) == 1, plan

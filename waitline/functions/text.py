@@ -149,8 +149,11 @@ def lemma_candidates(form) -> Column:
     return F.array(*out)
 
 
-def lemma_table(tokens: DataFrame, token_col: str = "token", exceptions: DataFrame | None = None):
-    """``(form, lemma)`` for every distinct token.
+def lemma_table(
+    tokens: DataFrame, token_col: str = "token", exceptions: DataFrame | None = None, distinct: bool = False
+):
+    """``(form, lemma)`` for every distinct token (H10); ``distinct`` says that
+    ``tokens`` has each once.
 
     The lexicon is the corpus vocabulary itself: a rule's candidate counts
     only if it occurs as a token somewhere, and the shortest accepted form
@@ -158,7 +161,9 @@ def lemma_table(tokens: DataFrame, token_col: str = "token", exceptions: DataFra
     overrides, e.g. irregular plurals. Everything is distinct / explode /
     join / aggregate over the vocabulary, not over the token stream.
     """
-    vocab = tokens.select(F.col(token_col).alias("form")).where(F.col("form").isNotNull()).distinct()
+    vocab = tokens.select(F.col(token_col).alias("form")).where(F.col("form").isNotNull())
+    if not distinct:
+        vocab = vocab.distinct()
     cands = vocab.select(
         "form", F.explode(F.array_compact(lemma_candidates(F.col("form")))).alias("cand")
     )

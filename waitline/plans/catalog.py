@@ -504,8 +504,9 @@ def _duck_rules(col: str) -> str:
 def lemma_terms(spark, d):
     docs = proxies.table(spark, d, "documents").select("doc_id", "text")
     tok = T.explode_array(docs, [], T.word_tokens("text", T.WORD_OR_PUNCT))
-    table = T.lemma_table(tok)
-    counts = tok.groupBy(F.col("token").alias("form")).agg(F.count(F.lit(1)).alias("n"))
+    # the filter (always true) keeps n in every branch: one exchange for all
+    counts = tok.groupBy(F.col("token").alias("form")).agg(F.count(F.lit(1)).alias("n")).where("n > 0 AND form IS NOT NULL")
+    table = T.lemma_table(counts, "form", distinct=True)
     return table.join(counts, "form").select("form", "lemma", "n")
 
 
