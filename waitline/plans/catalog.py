@@ -424,7 +424,17 @@ def tag_baskets(spark, d):
     return _explode_pos(p, ["p_partkey"], "toks")
 
 
-_WC = T.WORD_CHAR_CLASS
+# the SQL has its own literals, so a wrong pattern in the code shows
+_WC = r"\p{L}\p{N}_"
+_SQL_WORD = r"[\p{L}\p{N}_]{2,}"
+_SQL_WORD_OR_PUNCT = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
+_SQL_SUFFIXES = {"s": "", "ses": "s", "xes": "x", "zes": "z", "ches": "ch", "shes": "sh", "men": "man", "ies": "y"}
+_SQL_NOISE = r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
+_SQL_END = {
+    "p": r"(?i)</(p|div|article|section|body|nav|footer|ul|ol|li|table|blockquote)\s*>"
+    r"|<(h1|h2|h3|h4|h5|h6|pre|hr|div|ul|ol|table|blockquote|form|header|footer|section|article|nav|aside|main)(\s[^>]*)?/?>",
+}
+_SQL_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "\u00a9", "&middot;": "\u00b7", "&amp;": "&"}
 
 
 @register(
@@ -445,7 +455,7 @@ def tokens_tags(spark, d):
 
 def _duck_words_nostop(text: str) -> str:
     return (
-        f"list_filter(regexp_extract_all(lower({text}), '{T.WORD_PATTERN}'), "
+        f"list_filter(regexp_extract_all(lower({text}), '{_SQL_WORD}'), "
         f"lambda t: NOT list_contains({_duck_list(T.english_stop_words())}, t))"
     )
 
@@ -481,7 +491,7 @@ def ngrams(spark, d):
 
 def _duck_rules(col: str) -> str:
     sel = []
-    for suffix, repl in T.NOUN_SUFFIX_RULES:
+    for suffix, repl in _SQL_SUFFIXES.items():
         sel.append(
             f"SELECT {col} AS form, substr({col}, 1, length({col}) - {len(suffix)}) || {_sq(repl)} AS c "
             f"FROM vocab WHERE suffix({col}, {_sq(suffix)}) AND length({col}) > {len(suffix)}"
@@ -491,7 +501,7 @@ def _duck_rules(col: str) -> str:
 
 @register(
     "lemma_terms",
-    f"""WITH tok AS (SELECT unnest(regexp_extract_all(lower(text), '{T.WORD_OR_PUNCT}')) AS form FROM documents),
+    f"""WITH tok AS (SELECT unnest(regexp_extract_all(lower(text), '{_SQL_WORD_OR_PUNCT}')) AS form FROM documents),
         vocab AS (SELECT DISTINCT form FROM tok),
         cand AS ({_duck_rules('form')}),
         ok AS (SELECT cand.form, cand.c FROM cand WHERE cand.c IN (SELECT form FROM vocab)
@@ -516,12 +526,12 @@ def lemma_terms(spark, d):
 def _duck_texts(html: str, tag: str) -> str:
     """DuckDB list of the decoded texts of every ``tag`` element (same
     pattern constants as ``functions.html``)."""
-    h = f"regexp_replace({html}, {_sq(H.NOISE)}, '', 'g')"
-    h = f"regexp_replace({h}, {_sq(H.start_pattern(tag))}, chr(2), 'g')"
-    h = f"regexp_replace({h}, {_sq(H.end_pattern(tag))}, chr(3), 'g')"
-    h = f"regexp_replace({h}, {_sq(H.ANY_TAG)}, '', 'g')"
+    h = f"regexp_replace({html}, {_sq(_SQL_NOISE)}, '', 'g')"
+    h = f"regexp_replace({h}, {_sq(rf'(?i)<{tag}([ \t\n\r\f][^>]*)?>')}, chr(2), 'g')"
+    h = f"regexp_replace({h}, {_sq(_SQL_END.get(tag) or f'(?i)</{tag}[ \t\n\r\f]*>')}, chr(3), 'g')"
+    h = f"regexp_replace({h}, {_sq('(?s)<[^>]*>')}, '', 'g')"
     dec = "split_part(p, chr(3), 1)"
-    for ent, ch in H.ENTITIES:
+    for ent, ch in _SQL_ENTITIES.items():
         dec = f"replace({dec}, {_sq(ent)}, {_sq(ch)})"
     return f"list_transform(string_split({h}, chr(2))[2:], lambda p: {dec})"
 
@@ -565,8 +575,8 @@ def has_codes(spark, d):
 
 def _duck_title() -> str:
     t = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
-    t = f"regexp_replace({t}, {_sq(H.ANY_TAG)}, '', 'g')"
-    for ent, ch in H.ENTITIES:
+    t = f"regexp_replace({t}, {_sq('(?s)<[^>]*>')}, '', 'g')"
+    for ent, ch in _SQL_ENTITIES.items():
         t = f"replace({t}, {_sq(ent)}, {_sq(ch)})"
     return t
 
@@ -613,7 +623,7 @@ def _duck_tfidf(src: str, toks: str, min_df, max_df, key: str = "doc_id") -> str
         wn AS (SELECT doc, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc)) AS weight FROM w)"""
 
 
-_DOC_WORDS = f"regexp_extract_all(lower(text), '{T.WORD_PATTERN}')"
+_DOC_WORDS = f"regexp_extract_all(lower(text), '{_SQL_WORD}')"
 
 
 @register(
@@ -642,7 +652,7 @@ _PART_TAG_TOKENS = f"""list_filter(list_transform({_duck_split_ws(f"lower(regexp
 
 @register(
     "weighted_union",
-    f"""WITH a AS (WITH {_duck_tfidf('part', f"regexp_extract_all(lower(p_name), '{T.WORD_PATTERN}')", 1, 1.0, 'p_partkey')}
+    f"""WITH a AS (WITH {_duck_tfidf('part', f"regexp_extract_all(lower(p_name), '{_SQL_WORD}')", 1, 1.0, 'p_partkey')}
                    SELECT doc, 'name' AS block, term, weight FROM wn),
              b AS (WITH {_duck_tfidf('part', _PART_TAG_TOKENS, 1, 1.0, 'p_partkey')}
                    SELECT doc, 'tags' AS block, term, weight FROM wn)
