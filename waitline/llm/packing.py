@@ -65,6 +65,8 @@ def _cutter(path: str, size: int, end: int):
                 [batch.column(0).take(pa.array(cols[0])), pa.array(cols[1].astype(np.int32)), *(pa.array(c) for c in cols[2:5]), pa.array(np.full(len(cols[0]), task)), pa.array(cols[5])],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"],
             )
+        table = None
+        C.give_back()
 
     return run
 

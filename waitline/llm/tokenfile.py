@@ -244,6 +244,8 @@ def _encoder(path: str, end: int, vocabulary: int):
                         held, docs, size = [], [], 0
         if size:
             yield block()
+        words, held = None, []
+        C.give_back()
 
     return run
 

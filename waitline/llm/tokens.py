@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import gc
 import json
+import os
 import re
 
 import numpy as np
@@ -64,6 +65,8 @@ class WordTable:
     """Words to ids, filled as words come."""
 
     def __init__(self, path: str):
+        # a task has one core; threads would each keep an arena of memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
