@@ -334,6 +334,6 @@ def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_c
     out = scored(marked, model, salts).select("id", "lang", "trusted", "units", F.when(F.col("units") > 0, perplexity).alias("perplexity"))
     out = C.stored(out, "scored")
     limit = out.where("trusted").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
-    out = out.join(limit, "lang", "left")
+    out = out.join(C.few(C.stored(limit, "limits")), "lang", "left")  # a row for each language
     kept = (F.col("units") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select("id", "lang", "trusted", "units", "perplexity", "threshold", kept.alias("kept"))
