@@ -46,7 +46,7 @@ from . import tokens as T
 END = 2
 VOCABULARY = 49_408
 BLOCK = 1 << 20  # ids
-LANES = 4096
+LANES = 8192
 TOTAL_BITS = 24
 CONTEXT_BITS = 18  # of the order-2 table
 LEAST_ZERO = 1 << 20  # weight that order 0 keeps at least, of 1 << 24
@@ -100,18 +100,20 @@ class _Model:
         high = (self.table[x + 1] * self.w0 >> TOTAL_BITS) + (self.e2 <= x) * self.w2 + (self.e1 <= x) * self.w1
         return low, high - low
 
-    def find(self, v: np.ndarray) -> np.ndarray:
-        """The ids whose intervals hold ``v``."""
+    def find(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids whose intervals hold ``v``, and these intervals."""
         low2, wide2 = self.interval(self.e2)
         low1, wide1 = self.interval(self.e1)
-        is2, is1 = (v >= low2) & (v < low2 + wide2), (v >= low1) & (v < low1 + wide1)
-        x = np.where(is2, self.e2, self.e1)
-        k = np.flatnonzero(~(is2 | is1))
+        is2 = (v >= low2) & (v < low2 + wide2)
+        x, low, wide = np.where(is2, self.e2, self.e1), np.where(is2, low2, low1), np.where(is2, wide2, wide1)
+        k = np.flatnonzero(~is2 & ((v < low1) | (v >= low1 + wide1)))
         if len(k):
-            u, w0 = v[k], self.w0[k]
-            u = u - (u >= (low2 + wide2)[k]) * self.w2[k] - (u >= (low1 + wide1)[k]) * self.w1[k]
-            x[k] = np.searchsorted(self.table, (((u + 1) << TOTAL_BITS) - 1) // w0, "right") - 1
-        return x
+            w0, above2, above1 = self.w0[k], v[k] >= (low2 + wide2)[k], v[k] >= (low1 + wide1)[k]
+            aside = above2 * self.w2[k] + above1 * self.w1[k]
+            own = np.searchsorted(self.table, (((v[k] - aside + 1) << TOTAL_BITS) - 1) // w0, "right") - 1
+            start = self.table[own] * w0 >> TOTAL_BITS
+            x[k], low[k], wide[k] = own, start + aside, (self.table[own + 1] * w0 >> TOTAL_BITS) - start
+        return x, low, wide
 
     def update(self, x: np.ndarray):
         hit2, hit1 = self.e2 == x, self.e1 == x
@@ -171,8 +173,7 @@ def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int, vocabulary: int)
         model.predict()
         unit = wide >> _U(TOTAL_BITS)
         v = np.minimum(code // unit, _U(_TOTAL - 1)).view(np.int64)
-        x = model.find(v)
-        start, width = model.interval(x)
+        x, start, width = model.find(v)
         code -= unit * start.view(_U)
         wide = unit * width.view(_U)
         k = np.flatnonzero(wide < _U(1 << 32))
