@@ -90,6 +90,7 @@ def _fingerprints(shingle: int):
             raw = memoryview(data)
             prints = [fingerprint(bytes(raw[a:b]), shingle) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))], names=["id", "fp"])
+        C.give_back()
 
     return run
 

@@ -151,6 +151,8 @@ def _sketcher(bits: int, shard_bits: int, width: int):
                     keys, held = [], 0
         if held:
             yield from flush(keys, part)
+        keys = []
+        C.give_back()
 
     return run
 
@@ -199,7 +201,7 @@ def merged_sketch(texts: DataFrame, windows: float, width: int = WIDTH) -> tuple
     planes = sketch.groupBy("shard").applyInArrow(_finisher(shard_bits), "shard int, bits binary")
     size = (1 << shard_bits) // 8
     out = np.zeros(ROWS * cells // 8, np.uint8)
-    for row in planes.collect():  # bounded: ROWS * MOST_CELLS / 8 bytes in all
+    for row in C.stored(planes, "sketch").toLocalIterator():  # bounded: ROWS * MOST_CELLS / 8 bytes in all
         out[row.shard * size : (row.shard + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return out, bits
 
@@ -285,6 +287,8 @@ def _asker(sketch, bits: int, bucket_bits: int, width: int):
                     docs, parts, held, number = [], [], 0, number + 1
         if held:
             yield _batch(list(_requests(docs, parts, number, bucket_bits)), _MESSAGE_SCHEMA)
+        docs, parts = [], []
+        C.give_back()
 
     return run
 
@@ -398,6 +402,7 @@ def _cutter(text_at: int, lo_at: int, hi_at: int, kept_columns: int):
             columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(kept_columns)]
             columns += [pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[str(i) for i in range(len(columns))])
+        C.give_back()
 
     return run
 
