@@ -31,12 +31,16 @@ def test_ids_equal_those_of_whole_texts(monkeypatch):
     texts = ODD + [None] + pq.read_table(f"{SF}/documents.parquet").to_pydict()["text"]
     whole = Tokenizer.from_file(K.path_of())
     want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
-    for most, piece in ((500_000, 1 << 20), (50, 500), (3000, 1 << 14)):
+    for most, piece in ((1_500_000, 1 << 20), (50, 500), (3000, 1 << 14)):
         monkeypatch.setattr(K, "MOST_WORDS", most)
         got = [x.tolist() for x in K.documents(K.WordTable(K.path_of()), pa.array(texts), piece)]
         assert got == want
 
 
+def test_a_process_keeps_its_table():
+    assert K.table_of(K.path_of()) is K.table_of(K.path_of())
+
+
 def check(rows, docs, size):
     """Every id is packed once, in place, gapless; returns the number of sequences."""
     by_seq = defaultdict(list)

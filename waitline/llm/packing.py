@@ -50,7 +50,7 @@ _PIECE = "doc_id {}, piece int, start long, length long, ids_crc32 long, task lo
 
 def _cutter(path: str, size: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, task = T.WordTable(path), TaskContext.get().partitionId()
+        table, task = T.table_of(path), TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
             rows = []
@@ -65,7 +65,6 @@ def _cutter(path: str, size: int, end: int):
                 [batch.column(0).take(pa.array(cols[0])), pa.array(cols[1].astype(np.int32)), *(pa.array(c) for c in cols[2:5]), pa.array(np.full(len(cols[0]), task)), pa.array(cols[5])],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"],
             )
-        table = None
         C.give_back()
 
     return run

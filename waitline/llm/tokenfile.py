@@ -224,7 +224,7 @@ def decode_blocks(raw: bytes | memoryview) -> Iterator[tuple[np.ndarray, np.ndar
 
 def _encoder(path: str, end: int, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = T.WordTable(path)
+        words = T.table_of(path)
         held, docs, size = [], [], 0
 
         def block() -> pa.RecordBatch:
@@ -245,7 +245,7 @@ def _encoder(path: str, end: int, vocabulary: int):
                         held, docs, size = [], [], 0
         if size:
             yield block()
-        words, held = None, []
+        held = []
         C.give_back()
 
     return run

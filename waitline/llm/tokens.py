@@ -2,8 +2,8 @@
 
 The tokenizer drops white space, so the ids of a text are those of its words
 (runs without ASCII white space) one after the other, and each distinct word is
-encoded once in a task: a table of arrays, looked up for all words of a slice at
-a time, knows words of up to ``LONGEST`` bytes by a 64-bit hash (with a full table
+encoded once: a table of arrays, which a Python worker keeps from task to task and
+looks up for all words of a slice at a time, knows words of up to ``LONGEST`` bytes by a 64-bit hash (with a full table
 two of its words share one with a probability of about 1e-8). That holds for tokenizers whose pre-tokenizer never
 keeps or crosses white space, such as ``word_bpe_49k.json``; ``ids_of`` is
 tested against encoding whole texts.
@@ -21,6 +21,8 @@ import gc
 import json
 import os
 import re
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ import pyarrow as pa
 from . import common as C
 
 NAME = "word_bpe_49k.json"
-MOST_WORDS = 500_000  # held in a task's table; it starts anew beyond
+MOST_WORDS = 1_500_000  # held in a worker's table (about 100 MB); it starts anew beyond
 LONGEST = 64  # bytes of a word that the table holds
 
 
@@ -184,6 +186,16 @@ class WordTable:
         return ids, n
 
 
+def table_of(path: str) -> WordTable:
+    """This process's table for a tokenizer file; made once, kept in
+    ``sys.modules``, as what is shipped by value has no module to keep it in."""
+    kept = sys.modules.setdefault("_waitline_word_tables", types.ModuleType("_waitline_word_tables"))
+    tables = kept.__dict__.setdefault("tables", {})
+    if path not in tables:
+        tables[path] = WordTable(path)
+    return tables[path]
+
+
 def documents(table: WordTable, column: pa.Array, piece: int = 1 << 20):
     """For each text of a column in turn: its ids, in arrays of about ``piece``
     bytes of text (one at least); a null is an empty text."""
