@@ -48,9 +48,9 @@ from . import common as C
 WIDTH = 13
 ROWS = 2
 MOST_CELLS = 1 << 28
-RUN = 1 << 20  # windows of a run of the sketch; half as many of a run of requests
+RUN = 1 << 19  # windows of a run of the sketch or of requests
 FAN_IN = 64
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 _Q1, _Q2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -98,9 +98,9 @@ def windows_of(data: np.ndarray, offsets: np.ndarray, width: int):
     return doc, pos, key[at], key2[at]
 
 
-def _cells(key: np.ndarray, bits: int) -> list[np.ndarray]:
-    shift = np.uint64(64 - bits)
-    return [(x >> shift).astype(np.int64) for x in (key, C.mixed(key ^ _Q2))][:ROWS]
+def _cells(key: np.ndarray, bits: int, row: int) -> np.ndarray:
+    own = C.mixed(key ^ _Q2) if row else key
+    return (own >> np.uint64(64 - bits)).astype(np.int64)
 
 
 # ------------------------------------------------------------ sketch
@@ -131,7 +131,9 @@ _SKETCH_SCHEMA = pa.schema([("shard", pa.int32()), ("part", pa.int64()), ("cells
 def _sketcher(bits: int, shard_bits: int, width: int):
     def flush(keys: list[np.ndarray], part: int):
         key = np.concatenate(keys)
-        for row, cells in enumerate(_cells(key, bits)):
+        keys.clear()
+        for row in range(ROWS):
+            cells = _cells(key, bits, row)
             cells.sort()
             new = np.flatnonzero(np.diff(cells, prepend=-1))
             twice = np.diff(new, append=len(cells)) > 1
@@ -148,10 +150,9 @@ def _sketcher(bits: int, shard_bits: int, width: int):
                     held += len(key)
                 if held >= RUN:
                     yield from flush(keys, part)
-                    keys, held = [], 0
+                    held = 0
         if held:
             yield from flush(keys, part)
-        keys = []
         C.give_back()
 
     return run
@@ -209,8 +210,8 @@ def merged_sketch(texts: DataFrame, windows: float, width: int = WIDTH) -> tuple
 def _estimated_repeated(sketch: np.ndarray, bits: int, key: np.ndarray) -> np.ndarray:
     """Indices of the keys whose cells all say two or more."""
     left = np.arange(len(key))
-    for row, cells in enumerate(_cells(key, bits)):
-        at = cells[left] + (row << bits)
+    for row in range(ROWS):
+        at = _cells(key[left], bits, row) + (row << bits)
         left = left[(sketch[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
     return left
 
@@ -282,7 +283,7 @@ def _asker(sketch, bits: int, bucket_bits: int, width: int):
                     parts.append((doc[at] + len(docs), pos[at], key[at], key2[at]))
                     docs += zip(ids[i:j], marks[i:j])
                     held += len(at)
-                if held >= RUN // 2:
+                if held >= RUN:
                     yield _batch(list(_requests(docs, parts, number, bucket_bits)), _MESSAGE_SCHEMA)
                     docs, parts, held, number = [], [], 0, number + 1
         if held:
