@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import sys
 import tempfile
 import uuid
 
@@ -79,6 +80,17 @@ def count_where(cond: Column) -> Column:
 # ------------------------------------------------------------ inside tasks
 
 
+#: Where ``tokens`` keeps a process's word tables.
+WORD_TABLES = "_waitline_word_tables"
+
+
+def drop_tables() -> None:
+    """For tasks of other work: a worker needs the word tables of earlier tasks no
+    more."""
+    if sys.modules.pop(WORD_TABLES, None) is not None:
+        give_back()
+
+
 def give_back() -> None:
     """Returns a task's freed memory to the system: Python workers live on, and
     idle, after a task."""

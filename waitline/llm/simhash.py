@@ -85,6 +85,7 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE, chunk: int = 1 << 17) -> int
 
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.drop_tables()
         for batch in batches:
             data, offsets = C.text_bytes(batch.column(1))
             raw = memoryview(data)

@@ -140,6 +140,7 @@ def _sketcher(bits: int, shard_bits: int, width: int):
             yield _batch(list(_sketch_rows(cells[new], twice, row, bits, shard_bits, part)), _SKETCH_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.drop_tables()
         keys, held, part = [], 0, TaskContext.get().partitionId()
         for batch in batches:
             data, offsets = C.text_bytes(batch.column(0))
@@ -271,6 +272,7 @@ def _asker(sketch, bits: int, bucket_bits: int, width: int):
     """sketch: a broadcast of the merged sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.drop_tables()
         bitmap = sketch.value
         docs, parts, held, number = [], [], 0, TaskContext.get().partitionId() << 24
         for batch in batches:

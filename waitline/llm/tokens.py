@@ -189,7 +189,7 @@ class WordTable:
 def table_of(path: str) -> WordTable:
     """This process's table for a tokenizer file; made once, kept in
     ``sys.modules``, as what is shipped by value has no module to keep it in."""
-    kept = sys.modules.setdefault("_waitline_word_tables", types.ModuleType("_waitline_word_tables"))
+    kept = sys.modules.setdefault(C.WORD_TABLES, types.ModuleType(C.WORD_TABLES))
     tables = kept.__dict__.setdefault("tables", {})
     if path not in tables:
         tables[path] = WordTable(path)
