@@ -119,3 +119,48 @@ def test_query_rejects_junk_and_keeps_trusted_text(spark):
     good = [got[i] for i, q in zip(t["doc_id"], t["quality"]) if q == 1]
     bad = [got[i] for i, q in zip(t["doc_id"], t["quality"]) if q == 0]
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.8
+
+
+def test_thresholds_are_held_out(spark, monkeypatch):
+    """Each trusted document is scored by a plain model without its fold."""
+    monkeypatch.setattr(P, "RUN", 30_000)
+    monkeypatch.setattr(P, "FEWEST", 40)  # en has more trusted texts, de 10, fr and es fewer
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    trusted = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 AND toxic = 0").select("doc_id")
+    good = {r.doc_id for r in trusted.collect()}
+    by = defaultdict(list)
+    for r in docs.selectExpr("doc_id", "text", "lang", "pmod(xxhash64(text), 3) AS fold").collect():
+        if r.doc_id in good and r.text:
+            by[r.lang].append((r.fold, r.text))
+    held = {}
+    for lang, rows in by.items():
+        models = {f: Brute([t for g, t in rows if g != f]) for f in {f for f, _ in rows}}
+        held[lang] = sorted(models[f].perplexity(t) for f, t in rows)
+    at = lambda x, q: sorted(x)[math.ceil(q * len(x)) - 1]
+    ratio = at([x / at(held[lang], 0.5) for lang in ("en", "de", "fr", "es") for x in held[lang]], 0.9)
+    got = P.classify(docs, trusted, quantile=0.9, folds=3).collect()
+    limits = {r.lang: r.threshold for r in got}
+    assert limits["en"] == pytest.approx(at(held["en"], 0.9))
+    assert limits["de"] == pytest.approx(max(at(held["de"], 0.9), at(held["de"], 0.5) * ratio))
+    assert limits["fr"] is None and limits["es"] is None
+    whole = P.classify(docs, trusted, quantile=0.9).collect()
+    assert sorted(r.perplexity for r in got if r.perplexity) == pytest.approx(sorted(r.perplexity for r in whole if r.perplexity))
+    assert all(r.threshold < limits[r.lang] for r in whole if r.lang in ("en", "de"))
+
+
+def test_one_fold_only_has_no_threshold(spark):
+    """Copies of one text are one fold: no model lacks them and has others."""
+    df = spark.createDataFrame([(i, "a text again", "x", "", "") for i in range(200)], SCHEMA)
+    got = P.classify(df, df.select("doc_id"), folds=5).collect()
+    assert len(got) == 200 and all(r.threshold is None and r.kept for r in got)
+
+
+def test_few_trusted_documents_do_not_reject_clean_ones(spark):
+    sf = "/root/testdata/sf0.1"
+    t, labels = (pq.read_table(f"{sf}/{n}.parquet").to_pydict() for n in ("documents", "labels"))
+    clean = {i for i, q, x in zip(labels["doc_id"], labels["quality"], labels["toxic"]) if q == 1 and x == 0}
+    rows = [r for r in zip(t["doc_id"], t["text"], t["lang"]) if r[2] == "de" and r[0] in clean]
+    docs = spark.createDataFrame(rows[:200], "doc_id long, text string, lang string")
+    few = docs.where(docs.doc_id.isin([r[0] for r in rows[:10]])).select("doc_id")
+    rejected = lambda got: np.mean([not r.kept for r in got if not r.trusted])
+    assert rejected(P.classify(docs, few, folds=P.FOLDS).collect()) < 0.15  # thresholds of seen text: over 0.8

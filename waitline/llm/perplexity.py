@@ -26,8 +26,18 @@ spread over as many groups as runs need, each with a copy of the shard. Each gro
 gives its documents' sums, which are added up by run. No text is shuffled.
 
 Threshold: a language's ``QUANTILE`` of the perplexities of its trusted documents.
-A document is kept if its perplexity is not above it. Languages without trusted
-documents have no model: perplexity and threshold are null and documents are kept.
+With ``folds``, each is taken under a model that lacks it: trusted texts are dealt
+to folds by hash (copies of a text to one), a model is trained without each fold
+from the same counts, less the fold's, and a document of the fold is scored under
+both in the same join. A language of fewer than ``FEWEST`` trusted texts gets, if
+that is more, its median times the quantile of held-out perplexities over their
+language's median, pooled over all languages; one of fewer than ``LEAST`` has no
+threshold. Without folds (0), the perplexities are those under the model that has
+the documents, which unseen text exceeds where a language has few of them. The
+perplexity that is returned and compared is that of the whole model.
+A document is kept if its perplexity is not above the threshold, or there is none.
+Languages without trusted documents have no model: perplexity and threshold are
+null and documents are kept.
 A text that is null or empty has no perplexity and is not kept. A null language
 is one of its own (''). Repeated rows and ids are scored one by one.
 """
@@ -49,6 +59,9 @@ QUANTILE = 0.99
 SHARDS = 16
 RUN = 1 << 20  # characters of a run of documents
 RUNS_A_GROUP = 128
+FOLDS = 5  # of the query
+FEWEST = 100  # trusted texts of a language from which on its own quantile stands
+LEAST = 10  # with fewer there is no threshold
 MOST_TRUSTED = 4_000_000  # ids that are broadcast; with more, they are joined by a shuffle
 _START, _END, _FAR = 2, 3, 0xFFFF
 _MASK = (1 << 16) - 1
@@ -69,32 +82,33 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    fresh: dict[str, list[np.ndarray]] = {}
+    """Rows (lang, fold, text) to counts by (lang, fold) and trigram."""
+    held: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+    fresh: dict[tuple, list[np.ndarray]] = {}
     size = 0
 
     def fold():
-        for lang, parts in fresh.items():
+        for own, parts in fresh.items():
             k, n = np.unique(np.concatenate(parts), return_counts=True)
-            if lang in held:
-                k0, n0 = held[lang]
+            if own in held:
+                k0, n0 = held[own]
                 k, at = np.unique(np.concatenate([k0, k]), return_inverse=True)
                 n = np.bincount(at, weights=np.concatenate([n0, n])).astype(np.int64)
-            held[lang] = (k, n)
+            held[own] = (k, n)
         fresh.clear()
 
     def emit():
-        for lang, (keys, n) in held.items():
+        for (lang, part_of), (keys, n) in held.items():
             for i in range(0, len(keys), 1 << 16):
                 part = keys[i : i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part), pa.array(n[i : i + (1 << 16)])], names=["lang", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array([part_of] * len(part), pa.int32()), pa.array(part), pa.array(n[i : i + (1 << 16)])], names=["lang", "fold", "key", "n"])
         held.clear()
 
     for batch in batches:
-        for lang, text in zip(batch.column(0), batch.column(1)):
+        for lang, part_of, text in zip(*(batch.column(i) for i in range(3))):
             if text := text.as_py():
                 keys = trigrams(text)
-                fresh.setdefault(lang.as_py(), []).append(keys)
+                fresh.setdefault((lang.as_py(), part_of.as_py()), []).append(keys)
                 size += len(keys)
                 if size > 1 << 20:
                     fold()
@@ -105,17 +119,20 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from emit()
 
 
+_OF = ["lang", "fold"]
+
+
 def _discounts(counts: DataFrame, n: str) -> DataFrame:
-    """(lang, d): the three discounts of an order, as an array."""
+    """(lang, fold, d): the three discounts of an order, as an array."""
     of = lambda k: F.sum(F.when(F.col(n) == k, 1).otherwise(0)).cast("double")
-    c = counts.groupBy("lang").agg(*(of(k).alias(f"c{k}") for k in (1, 2, 3, 4)))
+    c = counts.groupBy(*_OF).agg(*(of(k).alias(f"c{k}") for k in (1, 2, 3, 4)))
     y = F.when(F.col("c1") > 0, F.col("c1") / (F.col("c1") + 2 * F.col("c2"))).otherwise(F.lit(0.5))
 
     def d(k: int) -> Column:
         estimate = F.when(F.col(f"c{k}") > 0, k - (k + 1) * y * F.col(f"c{k + 1}") / F.col(f"c{k}")).otherwise(F.lit(0.5 * k))
         return F.greatest(F.lit(0.05), F.least(F.lit(k - 0.05), estimate))  # few counts: what is taken stays positive and below the count
 
-    return c.select("lang", F.array(d(1), d(2), d(3)).alias("d"))
+    return c.select(*_OF, F.array(d(1), d(2), d(3)).alias("d"))
 
 
 def _discount(n: Column) -> Column:
@@ -124,38 +141,42 @@ def _discount(n: Column) -> Column:
 
 def _contexts(counts: DataFrame, context: list[str], n: str) -> DataFrame:
     """For each context: its total and what its discounts free, as a share."""
-    return counts.groupBy("lang", *context).agg(F.sum(n).cast("double").alias("total"), (F.sum(_discount(F.col(n))) / F.sum(n)).alias("free"))
+    return counts.groupBy(*_OF, *context).agg(F.sum(n).cast("double").alias("total"), (F.sum(_discount(F.col(n))) / F.sum(n)).alias("free"))
 
 
-def train(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """The model as rows (lang, kind, key, value). Kind 3: p(c|ab) of seen trigrams;
-    2: g(ab); 1: p(c|b) of seen bigrams; 0: g'(b); -1: p(c); -2: p of any other
-    character (key 0)."""
-    texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), text_col)
-    counts = texts.mapInArrow(_counter, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+def train(texts: DataFrame, folds: int) -> DataFrame:
+    """texts: (lang, fold, text). The models as rows (lang, kind, key, values), values
+    being those of the whole model and of the models that lack fold 0, 1 and so on,
+    with NaN where a model has none. Kind 3: p(c|ab) of seen trigrams; 2: g(ab); 1:
+    p(c|b) of seen bigrams; 0: g'(b); -1: p(c); -2: p of any other character (key 0)."""
+    own = [F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)) for f in range(folds)]
+    counts = texts.mapInArrow(_counter, "lang string, fold int, key long, n long").groupBy("lang", "key").agg(F.array(F.sum("n"), *(F.sum("n") - x for x in own)).alias("all"))
+    counts = counts.select("lang", "key", F.posexplode("all").alias("fold", "n")).where("n > 0")  # fold 0: the whole, f + 1: without f
     low = lambda shift, c="key": F.shiftright(c, shift).bitwiseAND(F.lit(_MASK))
-    tri = C.stored(counts.select("lang", F.shiftright("key", 16).alias("ab"), F.col("key").bitwiseAND(F.lit((1 << 32) - 1)).alias("bc"), F.col("n").cast("double").alias("n")), "trigrams")
-    bi = C.stored(tri.groupBy("lang", "bc").agg(F.count(F.lit(1)).cast("double").alias("n")).select("lang", low(16, "bc").alias("b"), low(0, "bc").alias("c"), "n"), "bigrams")
-    uni = bi.groupBy("lang", "c").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    uni = uni.join(_discounts(uni, "n"), "lang")
-    whole = uni.groupBy("lang").agg(F.sum("n").alias("total"), F.sum(_discount(F.col("n"))).alias("freed"), (F.count(F.lit(1)) + 1).alias("v"))
-    whole = C.stored(whole.select("lang", "total", (F.col("freed") / F.col("total") / F.col("v")).alias("other")), "whole")
-    uni = uni.join(whole, "lang").select("lang", "c", ((F.col("n") - _discount(F.col("n"))) / F.col("total") + F.col("other")).alias("p"))
+    tri = C.stored(counts.select(*_OF, F.shiftright("key", 16).alias("ab"), F.col("key").bitwiseAND(F.lit((1 << 32) - 1)).alias("bc"), F.col("n").cast("double").alias("n")), "trigrams")
+    bi = C.stored(tri.groupBy(*_OF, "bc").agg(F.count(F.lit(1)).cast("double").alias("n")).select(*_OF, low(16, "bc").alias("b"), low(0, "bc").alias("c"), "n"), "bigrams")
+    uni = bi.groupBy(*_OF, "c").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    uni = uni.join(_discounts(uni, "n"), _OF)
+    whole = uni.groupBy(*_OF).agg(F.sum("n").alias("total"), F.sum(_discount(F.col("n"))).alias("freed"), (F.count(F.lit(1)) + 1).alias("v"))
+    whole = C.stored(whole.select(*_OF, "total", (F.col("freed") / F.col("total") / F.col("v")).alias("other")), "whole")
+    uni = uni.join(whole, _OF).select(*_OF, "c", ((F.col("n") - _discount(F.col("n"))) / F.col("total") + F.col("other")).alias("p"))
     uni = C.stored(uni, "unigrams")
-    bi = bi.join(_discounts(bi, "n"), "lang")
+    bi = bi.join(_discounts(bi, "n"), _OF)
     bi_contexts = C.stored(_contexts(bi, ["b"], "n"), "contexts1")
-    bi = bi.join(bi_contexts, ["lang", "b"]).join(uni, ["lang", "c"])
-    bi = C.stored(bi.select("lang", "b", "c", ((F.col("n") - _discount(F.col("n"))) / F.col("total") + F.col("free") * F.col("p")).alias("p")), "bigrams")
-    tri = tri.join(_discounts(tri, "n"), "lang")
+    bi = bi.join(bi_contexts, [*_OF, "b"]).join(uni, [*_OF, "c"])
+    bi = C.stored(bi.select(*_OF, "b", "c", ((F.col("n") - _discount(F.col("n"))) / F.col("total") + F.col("free") * F.col("p")).alias("p")), "bigrams")
+    tri = tri.join(_discounts(tri, "n"), _OF)
     tri_contexts = C.stored(_contexts(tri, ["ab"], "n"), "contexts2")
-    tri = tri.join(tri_contexts, ["lang", "ab"]).join(bi.withColumn("bc", F.shiftleft("b", 16).bitwiseOR(F.col("c"))), ["lang", "bc"])
+    tri = tri.join(tri_contexts, [*_OF, "ab"]).join(bi.withColumn("bc", F.shiftleft("b", 16).bitwiseOR(F.col("c"))), [*_OF, "bc"])
     key = F.shiftleft("ab", 16).bitwiseOR(F.col("c"))
-    tri = tri.select("lang", F.lit(3).alias("kind"), key.alias("key"), ((F.col("n") - _discount(F.col("n"))) / F.col("total") + F.col("free") * F.col("p")).alias("value"))
-    out = tri.unionAll(tri_contexts.select("lang", F.lit(2), "ab", "free"))
-    out = out.unionAll(bi.select("lang", F.lit(1), F.shiftleft("b", 16).bitwiseOR(F.col("c")), "p"))
-    out = out.unionAll(bi_contexts.select("lang", F.lit(0), "b", "free"))
-    out = out.unionAll(uni.select("lang", F.lit(-1), "c", "p"))
-    return C.stored(out.unionAll(whole.select("lang", F.lit(-2), F.lit(0).cast("long"), "other")), "model")
+    tri = tri.select(*_OF, F.lit(3).alias("kind"), key.alias("key"), ((F.col("n") - _discount(F.col("n"))) / F.col("total") + F.col("free") * F.col("p")).alias("value"))
+    out = tri.unionAll(tri_contexts.select(*_OF, F.lit(2), "ab", "free"))
+    out = out.unionAll(bi.select(*_OF, F.lit(1), F.shiftleft("b", 16).bitwiseOR(F.col("c")), "p"))
+    out = out.unionAll(bi_contexts.select(*_OF, F.lit(0), "b", "free"))
+    out = out.unionAll(uni.select(*_OF, F.lit(-1), "c", "p"))
+    out = out.unionAll(whole.select(*_OF, F.lit(-2), F.lit(0).cast("long"), "other"))
+    value = lambda f: F.coalesce(F.max(F.when(F.col("fold") == f, F.col("value"))), F.lit(float("nan")))
+    return C.stored(out.groupBy("lang", "kind", "key").agg(F.array(*(value(f) for f in range(folds + 1))).alias("values")), "model")
 
 
 def _shard(middle: Column, shards: int) -> Column:
@@ -173,8 +194,8 @@ def _sharded(model: DataFrame, shards: int, salts: int) -> DataFrame:
 # ------------------------------------------------------------ postings
 
 
-_POSTING = "run long, lang string, shard int, salt int, keys binary, sizes binary, docs binary, counts binary, n int, ids binary"
-_POSTING_SCHEMA = pa.schema([("run", pa.int64()), ("lang", pa.string()), ("shard", pa.int32()), ("salt", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()), ("n", pa.int32()), ("ids", pa.binary())])
+_POSTING = "run long, lang string, shard int, salt int, keys binary, sizes binary, docs binary, counts binary, n int, ids binary, folds binary"
+_POSTING_SCHEMA = pa.schema([("run", pa.int64()), ("lang", pa.string()), ("shard", pa.int32()), ("salt", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()), ("n", pa.int32()), ("ids", pa.binary()), ("folds", pa.binary())])
 
 
 def _pack(x: np.ndarray, kind: str) -> bytes:
@@ -192,18 +213,20 @@ def _deltas(x: np.ndarray, kind: str) -> bytes:
     return _pack(np.diff(x, prepend=0), kind)
 
 
-def _poster(shards: int, salts: int):
-    """Rows (lang, id, trusted, text) to postings. A run's first row, told by its
-    ``ids``, has what its documents are and how many trigrams each has."""
+def _poster(shards: int, salts: int, folds: int):
+    """Rows (lang, id, trusted, mark, fold, text) to postings. A run's first row, told
+    by its ``ids``, has what its documents are and how many trigrams each has; the
+    others have the model that each document is held out with (0: none)."""
 
-    def flush(lang: str, docs: list[tuple[int | None, bool, np.ndarray]], run: int):
-        n = np.array([len(k) for _, _, k in docs], np.int64)
-        ids = np.array([(i or 0, i is None, t) for i, t, _ in docs], np.int64).T
+    def flush(lang: str, docs: list[tuple], run: int):
+        n = np.array([len(d[-1]) for d in docs], np.int64)
+        ids = np.array([(i or 0, i is None, t, mark) for i, t, mark, _, _ in docs], np.int64).T
+        without = _pack(np.array([f + 1 if t else 0 for _, t, _, f, _ in docs]), "<i4") if folds else b""
         salt = run % salts
-        yield (run, lang, run % shards, salt, b"", _pack(n, "<i8"), b"", b"", len(docs), _pack(ids.ravel(), "<i8"))
+        yield (run, lang, run % shards, salt, b"", _pack(n, "<i8"), b"", b"", len(docs), _pack(ids.ravel(), "<i8"), b"")
         if not n.sum():
             return
-        distinct, at = np.unique(np.concatenate([k for _, _, k in docs]), return_inverse=True)
+        distinct, at = np.unique(np.concatenate([d[-1] for d in docs]), return_inverse=True)
         # by key, then document: one sort of both in one number
         both = np.sort(at * len(docs) + np.repeat(np.arange(len(docs)), n))
         heads = np.flatnonzero(np.diff(both, prepend=-1))
@@ -213,7 +236,7 @@ def _poster(shards: int, salts: int):
         shard = (distinct >> 16 & _MASK) % shards
         for s in np.unique(shard).tolist():
             own, rows = np.flatnonzero(shard == s), (shard == s)[at]
-            yield (run, lang, s, salt, _deltas(distinct[own], "<i8"), _pack(sizes[own], "<i4"), _deltas(doc[rows], "<i4"), _pack(counts[rows], "<i4"), len(docs), b"")
+            yield (run, lang, s, salt, _deltas(distinct[own], "<i8"), _pack(sizes[own], "<i4"), _deltas(doc[rows], "<i4"), _pack(counts[rows], "<i4"), len(docs), b"", without)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -228,10 +251,10 @@ def _poster(shards: int, salts: int):
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _POSTING_SCHEMA)], schema=_POSTING_SCHEMA)
 
         for batch in batches:
-            for lang, id_, trusted, text in zip(*(batch.column(i) for i in range(4))):
+            for lang, id_, trusted, mark, fold, text in zip(*(batch.column(i) for i in range(6))):
                 lang, text = lang.as_py(), text.as_py()
                 keys = trigrams(text) if text else np.zeros(0, np.int64)
-                held.setdefault(lang, []).append((id_.as_py(), trusted.as_py(), keys))
+                held.setdefault(lang, []).append((id_.as_py(), trusted.as_py(), mark.as_py(), fold.as_py(), keys))
                 size[lang] = size.get(lang, 0) + len(keys) + 64
                 if size[lang] >= RUN:
                     yield out(lang)
@@ -242,17 +265,19 @@ def _poster(shards: int, salts: int):
 
 
 def _found(table_keys: np.ndarray, values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(whether a key is in the sorted table, its value)."""
+    """(whether a key is in the sorted table, its value), for each model."""
     if not len(table_keys):
-        return np.zeros(len(keys), bool), np.zeros(len(keys))
+        return np.zeros((len(keys), values.shape[1]), bool), np.zeros((len(keys), values.shape[1]))
     at = np.minimum(np.searchsorted(table_keys, keys), len(table_keys) - 1)
-    ok = table_keys[at] == keys
-    return ok, np.where(ok, values[at], 0.0)
+    got = values[at]
+    ok = (table_keys[at] == keys)[:, None] & ~np.isnan(got)
+    return ok, np.where(ok, got, 0.0)
 
 
 def log_probabilities(model: dict[int, tuple[np.ndarray, np.ndarray]], keys: np.ndarray) -> np.ndarray:
-    """Natural logarithms; model: for each kind, sorted keys and values."""
-    none = (np.zeros(0, np.int64), np.zeros(0))
+    """Natural logarithms, a row for each key and a column for each model (NaN: the
+    model is not there); model: for each kind, sorted keys and rows of values."""
+    none = (np.zeros(0, np.int64), np.zeros((0, model[-2][1].shape[1])))
     look = lambda kind, k: _found(*model.get(kind, none), k)
     c, b, ab, bc = keys & _MASK, keys >> 16 & _MASK, keys >> 16, keys & (1 << 32) - 1
     seen, p3 = look(3, keys)
@@ -265,29 +290,34 @@ def log_probabilities(model: dict[int, tuple[np.ndarray, np.ndarray]], keys: np.
     return np.log(np.where(seen, p3, np.where(context, g2, 1.0) * p2))
 
 
-_SUMS = "run long, lang string, sums binary, sizes binary, ids binary"
-_SUMS_SCHEMA = pa.schema([("run", pa.int64()), ("lang", pa.string()), ("sums", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
+_SUMS = "run long, lang string, sums binary, held binary, sizes binary, ids binary"
+_SUMS_SCHEMA = pa.schema([("run", pa.int64()), ("lang", pa.string()), ("sums", pa.binary()), ("held", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
 
 
 def _score(postings: pa.Table, model: pa.Table) -> pa.Table:
     """A shard's postings and its part of the model: each run's partial sums."""
     tables, out = {}, []
     if model.num_rows:
-        kind, key, value = (model.column(c).to_numpy() for c in ("kind", "key", "value"))
+        kind, key = (model.column(c).to_numpy() for c in ("kind", "key"))
+        value = model.column("values").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
         for k in np.unique(kind).tolist():
             own = np.flatnonzero(kind == k)
             own = own[np.argsort(key[own], kind="stable")]
             tables[k] = (key[own], value[own])
     for i in range(postings.num_rows):
-        r = {c: postings.column(c)[i].as_py() for c in ("run", "lang", "keys", "sizes", "docs", "counts", "n", "ids")}
+        r = {c: postings.column(c)[i].as_py() for c in ("run", "lang", "keys", "sizes", "docs", "counts", "n", "ids", "folds")}
         if r["ids"]:
-            out.append((r["run"], r["lang"], b"", r["sizes"], r["ids"]))
+            out.append((r["run"], r["lang"], b"", b"", r["sizes"], r["ids"]))
         elif tables:
             logs = log_probabilities(tables, np.cumsum(_unpack(r["keys"], "<i8")))
             docs, counts = np.cumsum(_unpack(r["docs"], "<i4").astype(np.int64)), _unpack(r["counts"], "<i4")
-            sums = np.bincount(docs, weights=np.repeat(logs, _unpack(r["sizes"], "<i4")) * counts, minlength=r["n"])
-            out.append((r["run"], r["lang"], sums.astype("<f8").tobytes(), b"", b""))
-    cols = list(zip(*out)) or [[]] * 5
+            at = np.repeat(np.arange(len(logs)), _unpack(r["sizes"], "<i4"))
+            sums = np.bincount(docs, weights=logs[at, 0] * counts, minlength=r["n"])
+            held = b""
+            if r["folds"] and (without := _unpack(r["folds"], "<i4")).any():
+                held = np.bincount(docs, weights=logs[at, without[docs]] * counts, minlength=r["n"]).astype("<f8").tobytes()
+            out.append((r["run"], r["lang"], sums.astype("<f8").tobytes(), held, b"", b""))
+    cols = list(zip(*out)) or [[]] * 6
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SUMS_SCHEMA)], schema=_SUMS_SCHEMA)
 
 
@@ -295,45 +325,63 @@ def _add_up(group: pa.Table) -> pa.Table:
     """A run's rows: its documents with the sums of all shards."""
     rows = group.to_pylist()
     head = next(r for r in rows if r["ids"])
-    ids, null, trusted = _unpack(head["ids"], "<i8").reshape(3, -1)
+    ids, null, trusted, marks = _unpack(head["ids"], "<i8").reshape(4, -1)
     n = _unpack(head["sizes"], "<i8")
     parts = [np.frombuffer(r["sums"], "<f8") for r in rows if r["sums"]]
     total = np.sum(np.stack(parts), axis=0) if parts else np.zeros(len(n))
+    parts_held = [np.frombuffer(r["held"], "<f8") for r in rows if r["held"]]
+    held = np.sum(np.stack(parts_held), axis=0) if parts_held else np.full(len(n), np.nan)
     return pa.table(
         {
             "id": pa.array(ids, mask=null == 1),
             "lang": pa.array([head["lang"]] * len(n), pa.string()),
             "trusted": pa.array(trusted == 1),
+            "mark": pa.array(marks),
             "units": pa.array(n),
             "log_p": pa.array(total, mask=(n == 0) | (not parts)),
+            "held_log_p": pa.array(held, mask=(n == 0) | (trusted == 0) | np.isnan(held)),
         }
     )
 
 
-def scored(rows: DataFrame, model: DataFrame, salts: int) -> DataFrame:
-    """rows: (lang, id, trusted, text). id, lang, trusted, units, log_p of each;
-    log_p is null without a text or a model."""
-    postings = rows.select("lang", "id", "trusted", "text").mapInArrow(_poster(SHARDS, salts), _POSTING)
+def scored(rows: DataFrame, model: DataFrame, salts: int, folds: int) -> DataFrame:
+    """rows: (lang, id, trusted, mark, fold, text). id, lang, trusted, mark, units,
+    log_p, held_log_p of each; log_p is null without a text or a model, held_log_p
+    also of documents that are not trusted."""
+    postings = rows.select("lang", "id", "trusted", "mark", "fold", "text").mapInArrow(_poster(SHARDS, salts, folds), _POSTING)
     key = ["lang", "shard", "salt"]
     sums = postings.groupBy(*key).cogroup(_sharded(model, SHARDS, salts).groupBy(*key)).applyInArrow(_score, _SUMS)
-    return sums.groupBy("run").applyInArrow(_add_up, "id long, lang string, trusted boolean, units long, log_p double")
+    return sums.groupBy("run").applyInArrow(_add_up, "id long, lang string, trusted boolean, mark long, units long, log_p double, held_log_p double")
+
+
+def _thresholds(out: DataFrame, quantile: float) -> DataFrame:
+    """(lang, threshold) from held-out perplexities."""
+    held = out.where("held IS NOT NULL")
+    texts = held.select("lang", "mark").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))  # apart: beside a distinct count, quantiles are not summed per task
+    own = held.groupBy("lang").agg(F.percentile_approx("held", quantile, 10_000).alias("top"), F.percentile_approx("held", 0.5, 10_000).alias("median"))
+    own = C.few(C.stored(own.join(texts, "lang"), "limits"))  # a row for each language
+    ratio = held.join(own, "lang").agg(F.percentile_approx(F.col("held") / F.col("median"), quantile, 10_000)).first()[0]
+    pooled = F.greatest(F.col("top"), F.col("median") * F.lit(ratio).cast("double"))
+    return own.select("lang", F.when(F.col("texts") >= FEWEST, F.col("top")).when(F.col("texts") >= LEAST, pooled).alias("threshold"))
 
 
-def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE) -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, folds: int = 0) -> DataFrame:
     """id, lang, trusted, units (trigrams scored), perplexity, threshold, kept for
     each row of ``docs``. ``trusted``: a one-column frame of the ids of trusted
-    documents."""
+    documents. ``folds``: of the trusted texts, two at least for held-out thresholds;
+    0 takes the threshold from the documents that the model was trained on."""
     ids = C.stored(trusted.toDF("_id").where("_id IS NOT NULL").distinct(), "trusted")
     few = ids.count() <= MOST_TRUSTED
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
     marked = own.join((F.broadcast(ids) if few else ids).withColumn("_t", F.lit(True)), F.col("id") == F.col("_id"), "left").select("id", "lang", "text", F.coalesce("_t", F.lit(False)).alias("trusted"))
-    model = train(marked.where("trusted"), "text", "lang")
+    marked = marked.withColumn("mark", F.xxhash64("text")).withColumn("fold", F.pmod("mark", F.lit(max(folds, 1))).cast("int"))
+    model = train(marked.where("trusted").select("lang", "fold", "text"), folds)
     size = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
     salts = max(1, round(size / RUN / RUNS_A_GROUP))
-    perplexity = F.exp(-F.col("log_p") / F.col("units"))
-    out = scored(marked, model, salts).select("id", "lang", "trusted", "units", F.when(F.col("units") > 0, perplexity).alias("perplexity"))
+    perplexity = lambda log_p: F.when(F.col("units") > 0, F.exp(-F.col(log_p) / F.col("units")))
+    out = scored(marked, model, salts, folds).select("id", "lang", "trusted", "mark", "units", perplexity("log_p").alias("perplexity"), perplexity("held_log_p").alias("held"))
     out = C.stored(out, "scored")
-    limit = out.where("trusted").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
+    limit = _thresholds(out, quantile) if folds else out.where("trusted").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
     out = out.join(C.few(C.stored(limit, "limits")), "lang", "left")  # a row for each language
     kept = (F.col("units") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select("id", "lang", "trusted", "units", "perplexity", "threshold", kept.alias("kept"))

@@ -83,7 +83,7 @@ def op3_kneser_ney(spark, sf_dir):
     """Trusted are the documents that are labelled of good quality and not toxic."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
-    return perplexity.classify(docs, trusted).withColumnRenamed("id", "doc_id")
+    return perplexity.classify(docs, trusted, folds=perplexity.FOLDS).withColumnRenamed("id", "doc_id")
 
 
 @_query(
