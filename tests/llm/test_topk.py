@@ -78,3 +78,28 @@ def test_bounds_prune(spark):
     rows = d[:, far][d.argmin(axis=1) == far]
     gap = np.maximum(np.maximum(to[:, far] - rows.max(), rows.min() - to[:, far]), 0)
     assert K._bounds(gap, (q * q).sum(axis=1), largest)[0] < np.sort(x[:50] @ x[0])[-6]
+
+
+def test_repeated_query_ids_over_chunk_borders(spark, monkeypatch):
+    monkeypatch.setattr(K, "QUERIES", 4)
+    rnd = random.Random(3)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in [1, 2, 2, 2, 3, 3, 4, 5, *[6] * 11, 7, 8, 9]]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
+    got = result(K.search(df, df))
+    want = []
+    for i in {i for i, _ in rows}:  # the rows of an id share its ranks, as in the SQL
+        pairs = [(-s, r, j) for q, r, j, s in [x for a in rows if a[0] == i for x in brute([a, *[b for b in rows if b[0] != i]], {i}, 99)]]
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted((s, j) for s, _, j in pairs)[:5])]
+    assert got == sorted(want)
+
+
+def test_large_finite_components_take_part(spark):
+    big = [2.0**53, 1e17, -3e200, 1.7e308]
+    rows = [(i, [b, 1.5 * i, -0.25]) for i, b in enumerate(big, 1)] + [(i, [0.25 * i, 1.0, -float(i)]) for i in range(10, 30)] + [(40, [0.0, -1e16])]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA).repartition(7)
+    ints = [(i, [int(x) * 256 if abs(x) > 2**60 else math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for i, q in ints:
+        top = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in ints if j != i)[:5]
+        want += [(i, r + 1, j, max(-(2**63), min(2**63 - 1, -s))) for r, (s, j) in enumerate(top)]
+    assert result(K.search(df, df)) == sorted(want)
