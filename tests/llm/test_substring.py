@@ -90,3 +90,16 @@ def test_word_hashes_do_not_depend_on_slices():
     assert list(np.diff(first)) == [len(t.split()) for t in texts]
     one, two = C.word_hashes(data, starts, ends), C.word_hashes(data, starts, ends, most=4)
     assert (one == two).all() and one[0] == one[-1] and one[2] == one[3] and len(set(one)) == 4
+
+
+def test_places_of_many_partitions_spread_over_buckets():
+    from collections import Counter
+
+    import numpy as np
+
+    from waitline.llm import substring as S
+
+    part = (np.zeros(1, np.int64), np.zeros(1, np.int64), np.ones(1, np.uint64), np.ones(1, np.uint32))
+    rows = [r for p in range(256) for r in S._requests([(1, 2)], [part], p << 24, 4)]
+    held = Counter(r[0] for r in rows if r[2] == S._PLACES)
+    assert sum(held.values()) == 256 and set(held) == set(range(16)) and max(held.values()) < 48

@@ -254,7 +254,8 @@ def _requests(docs: list[tuple], parts: list[tuple], run: int, bucket_bits: int)
     used = np.unique(doc)
     head = np.stack([ids[used], np.array([docs[i][1] for i in used], np.int64)])
     body = np.stack([np.searchsorted(used, doc), pos, entry, later])
-    yield run % (1 << bucket_bits), run, _PLACES, _pack(head), b"".join([len(doc).to_bytes(8, "little"), *(_sized(_deltas(x)) for x in body)]), b"", b""
+    spread = int(C.mixed(np.array([run], np.uint64))[0]) >> (64 - bucket_bits)  # a run's number within its partition is in its low bits
+    yield spread, run, _PLACES, _pack(head), b"".join([len(doc).to_bytes(8, "little"), *(_sized(_deltas(x)) for x in body)]), b"", b""
 
 
 def _sized(raw: bytes) -> bytes:
