@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, perplexity, quality, simhash, substring, tokenfile, topk, warc
+from . import centroids, langid, mixing, packing, perplexity, quality, sharding, simhash, substring, tokenfile, topk, variants, warc
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,47 @@ def op9_substring_dedup(spark, sf_dir):
 def op10_simhash_dedup(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@_query("op11_spelling_variants")
+def op11_spelling_variants(spark, sf_dir):
+    """Of the runs of the documents, about one in 199 is misspelled first."""
+    words = variants.vocabulary(table(spark, sf_dir, "documents").select("doc_id", "text"), one_in=199)
+    return variants.grouped(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@_query("op12_hash_tree_shards")
+def op12_hash_tree_shards(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sharding.placed(docs, sharding.even_tree(16), sharding.even_tree(17))
+    return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def _clustering_sql() -> str:
+    """Ten rounds and the last assignment, written out. A centroid is one row for
+    each component; an empty cluster keeps its components."""
+    assign = """SELECT vec_id, cluster, distance FROM (
+                    SELECT v.row, v.vec_id, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance,
+                           row_number() OVER (PARTITION BY v.row ORDER BY sum((v.x - c.x) * (v.x - c.x)), c.cluster) AS k
+                    FROM parts v JOIN {0} c ON c.d = v.d GROUP BY v.row, v.vec_id, c.cluster) WHERE k = 1"""
+    sql = """WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+                  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (SELECT row, vec_id, unnest(generate_series(1, 64)) AS d, unnest(v) AS x FROM v),
+        c0 AS MATERIALIZED (SELECT cluster, unnest(generate_series(1, 64)) AS d, unnest(v) AS x FROM (
+              SELECT v, (row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR), v) - 1)::INTEGER AS cluster FROM v) WHERE cluster < 8)"""
+    for k in range(10):
+        sql += f""",
+        a{k} AS MATERIALIZED ({assign.format(f"c{k}").replace("SELECT vec_id, cluster, distance", "SELECT row, cluster", 1)}),
+        c{k + 1} AS MATERIALIZED (SELECT c.cluster, c.d, coalesce(n.x, c.x) AS x FROM c{k} c LEFT JOIN (
+              SELECT a.cluster, p.d, ((sum(p.x) - ((sum(p.x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+              FROM a{k} a JOIN parts p ON p.row = a.row GROUP BY 1, 2) n ON n.cluster = c.cluster AND n.d = c.d)"""
+    return f"""{sql},
+        a AS MATERIALIZED ({assign.format("c10")}),
+        told AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c10 GROUP BY 1)
+        SELECT vec_id, a.cluster, distance, (sum(distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256 FROM a JOIN told ON told.cluster = a.cluster"""
+
+
+@_query("op13_centroid_tables", _clustering_sql())
+def op13_centroid_tables(spark, sf_dir):
+    return centroids.clustered(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed("id", "vec_id")
