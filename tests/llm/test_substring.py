@@ -103,3 +103,19 @@ def test_places_of_many_partitions_spread_over_buckets():
     rows = [r for p in range(256) for r in S._requests([(1, 2)], [part], p << 24, 4)]
     held = Counter(r[0] for r in rows if r[2] == S._PLACES)
     assert sum(held.values()) == 256 and set(held) == set(range(16)) and max(held.values()) < 48
+
+
+def test_words_that_share_a_polynomial_hash_stay_apart(spark):
+    """A Thue-Morse word and its complement: polynomials modulo 2**64 are equal."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(12))
+    df = spark.createDataFrame([(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"{one} {rest}")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in S.remove_repeated(df).collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_the_join_without_a_broadcast(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = digest(S.remove_repeated(docs))
+    monkeypatch.setattr(S, "MOST_RANGES", 0)
+    assert digest(S.remove_repeated(docs)) == want

@@ -25,11 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: what the session names in
-    ``spark.checkpoint.dir``. A session without one (tests on one machine)
-    gets a scratch folder, once."""
+    ``spark.checkpoint.dir``. A session of one process without one (tests) gets
+    a scratch folder, once; on a cluster it must be set."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="waitline-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -189,3 +191,33 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: in
         out[i:j] = mixed(np.add.reduceat(raw, first) + length.astype(np.uint64))
         i = j
     return out
+
+
+_PLACES = 64  # of a word, with random numbers of their own
+
+
+def random_table(seed: int) -> np.ndarray:
+    """A random number for each of _PLACES places and each byte."""
+    with np.errstate(over="ignore"):
+        return mixed((np.arange(_PLACES * 256, dtype=np.uint64) + np.uint64(1)) * _MUL + mixed(np.array([seed], np.uint64)))
+
+
+def tabulated(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray, most: int = 1 << 20) -> np.ndarray:
+    """A 64-bit hash of each word by tabulation: the numbers of its bytes at their
+    places, added up and finalised; each further _PLACES bytes count times an odd
+    number of their own. Other than of a polynomial, no two words are known to
+    share it, and hashes from tables of other seeds are independent. ``most``: see
+    ``word_hashes``."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + most, "right")))
+        length = ends[i:j] - starts[i:j]
+        first = np.cumsum(length) - length
+        at = np.arange(int(length.sum())) - np.repeat(first, length)
+        value = table[(at % _PLACES << 8) + data[np.repeat(starts[i:j], length) + at]]
+        if int(length.max()) > _PLACES:
+            value *= mixed((at // _PLACES).astype(np.uint64) * _MUL) | np.uint64(1)
+        out[i:j] = mixed(np.add.reduceat(value, first) + length.astype(np.uint64))
+        i = j
+    return out

@@ -14,13 +14,15 @@ id. Windows are judged on the input, not on what is left.
    merged sketch is one bit per cell, at most ``2 * MOST_CELLS / 8`` bytes (64
    MiB) by construction, which is the bound of what is broadcast. Beyond that
    capacity more windows pass the filter; none is ever lost.
-2. *Exact pass.* Windows whose cells all say two go on, as 96-bit keys. A
-   task first joins equal keys of its own run of documents (keeping the
+2. *Exact pass.* Windows whose cells all say two go on, as 96-bit keys: 64 bits
+   from one hash of each word and 32 from another, independent one. A task first joins equal keys of its own run of documents (keeping the
    smallest id), so a passage that a third of the corpus shares arrives once
    per run, not once per document. Keys are packed by hash bucket, a bucket
    answers each run with the keys that a smaller id holds elsewhere, and the
    run turns its answers into word ranges.
-3. *Cut.* Documents are joined with their ranges by id (and text hash).
+3. *Cut.* Documents are joined with their ranges by id (and text hash). Ranges of
+   up to a million documents, four ranges each, are broadcast, so that no text is
+   shuffled; with more, texts are shuffled once.
 
 A run's packing follows the order in which its rows are read; give a stored
 table (as the pipeline does), so that a task that is run again sees the same
@@ -51,6 +53,7 @@ MOST_CELLS = 1 << 28
 RUN = 1 << 19  # windows of a run of the sketch or of requests
 FAN_IN = 64
 SLICE = 1 << 19
+MOST_RANGES = 4 * C.MOST_BROADCAST  # that are broadcast (32 MB and the rows' own)
 
 _Q1, _Q2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -73,24 +76,29 @@ def _undelta(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
 
 
-def window_keys(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """64 and 32 bits for each window of adjoining word hashes."""
+_TABLE1, _TABLE2 = C.random_table(1), C.random_table(2)
+
+
+def _over_windows(words: np.ndarray, width: int, by: np.uint64) -> np.ndarray:
     n = max(0, len(words) - width + 1)
-    a, b = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-    if n:
-        for j in range(width):
-            part = words[j : j + n]
-            a *= _Q1
-            a += part
-            b *= _Q2
-            b += part ^ _Q1
-    return C.mixed(a), (C.mixed(b) >> np.uint64(32)).astype(np.uint32)
+    out = np.zeros(n, np.uint64)
+    for j in range(width if n else 0):
+        out *= by
+        out += words[j : j + n]
+    return C.mixed(out)
+
+
+def window_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """64 and, from another hash of the words, 32 bits for each window of adjoining
+    words."""
+    one, two = (_over_windows(C.tabulated(data, starts, ends, t), width, q) for t, q in ((_TABLE1, _Q1), (_TABLE2, _Q2)))
+    return one, (two >> np.uint64(32)).astype(np.uint32)
 
 
 def windows_of(data: np.ndarray, offsets: np.ndarray, width: int):
     """(document index, position, key, key2) of every window of the texts."""
     starts, ends, first = C.words_of(data, offsets)
-    key, key2 = window_keys(C.word_hashes(data, starts, ends), width)
+    key, key2 = window_keys(data, starts, ends, width)
     count = np.maximum(np.diff(first) - width + 1, 0)
     doc = np.repeat(np.arange(len(count)), count)
     pos = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
@@ -370,6 +378,9 @@ def _with_ranges(docs: DataFrame, id_col: str, text_col: str, width: int) -> tup
     lo, hi, own, mark = (C.free_name(docs, x) for x in ("_lo", "_hi", "_id", "_mark"))
     found = repeated_ranges(docs, id_col, text_col, width).toDF(own, mark, lo, hi)
     found = C.stored(found.dropDuplicates([own, mark]), "ranges")  # repeated rows have the same ranges
+    told = found.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(lo)).alias("ranges")).first()
+    if told.rows <= C.MOST_BROADCAST and (told.ranges or 0) <= MOST_RANGES:
+        found = F.broadcast(found)
     on = (docs[id_col].cast("long") == found[own]) & (F.xxhash64(docs[text_col]) == found[mark])
     return docs.join(found, on, "left").drop(own, mark), lo, hi
 
