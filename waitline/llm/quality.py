@@ -8,9 +8,8 @@ so 0 to 1):
 
 * character classes: symbols, upper case, digits, other ASCII punctuation,
   ASCII white space, and the rest;
-* common words: the ``COMMON`` most frequent lower-cased words of at most
-  ``LONGEST`` characters in the language's documents (ties by word), and all
-  other words together.
+* common words: the ``COMMON`` most frequent lower-cased words of the language's
+  documents (ties by word), and all other words together.
 
 A language's reference sums over all its documents (a null language is one of
 its own). A document is rejected where a distance exceeds its limit and the
@@ -30,15 +29,15 @@ from pyspark.sql import functions as F
 from . import common as C
 
 COMMON = 24
-LONGEST = 4
 LEAST_CHARS = 200
 LEAST_WORDS = 50
 CLASS_LIMIT = 0.25
 WORD_LIMIT = 0.45
 REPEATED = 5  # words of a window
-MOST_LANGUAGES = 10_000  # of references that are broadcast (24 short words and 31 numbers each)
+MOST_LANGUAGES = 10_000  # of references that are broadcast (24 words and 31 numbers each)
 
 SPACE = r"[\x20\x09-\x0D]+"
+_LETTERS = "".join(chr(ord("0") + k) for k in range(COMMON + 1))  # 0: no common word
 _BLANK = " \t\n\x0b\x0c\r"
 _CLASSES = (r"[#*$%&|<>]", r"\p{Lu}", r"[0-9]", r"[!\x22'()+,\-./:;=?@\[\\\]^_`{}~]")
 _MARKED = r"[^#*$%&|<>\p{Lu}0-9!\x22'()+,\-./:;=?@\[\\\]^_`{}~]+"
@@ -50,10 +49,11 @@ def words(text: Column) -> Column:
 
 
 def common_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, common): the most frequent short words of each language."""
+    """(lang, common): the most frequent words of each language. Tasks count words
+    before the shuffle, and Spark keeps each task's first COMMON of a language before
+    the ranks are taken (the filter on a row number)."""
     word = docs.select(F.coalesce(lang_col, F.lit("")).alias("lang"), F.explode_outer(words(F.col(text_col))).alias("word"))
-    # lower() can lengthen a word: its own length counts
-    counted = word.where(F.length("word") <= LONGEST).groupBy("lang", F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    counted = word.where("word IS NOT NULL").groupBy("lang", F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = counted.withColumn("rank", rank).where(F.col("rank") <= COMMON)
     ordered = F.array_sort(F.collect_list(F.struct("rank", "word")))
@@ -116,10 +116,11 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     common = C.stored(common_words(docs, text_col, lang_col), "common")
     df = docs.select(F.col(id_col).alias("id"), F.coalesce(lang_col, F.lit("")).alias("lang"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("_text"))
     df = base_features(_beside(df, common), F.col("_text")).drop("_text")
-    short = F.transform(F.filter("_words", lambda w: F.length(w) <= LONGEST), lambda w: F.array_position("common", F.lower(w)))
-    df = df.withColumn("_at", F.filter(short, lambda i: i > 0)).withColumn("common", F.size("common"))
-    counts = F.transform(F.sequence(F.lit(1), F.lit(COMMON)), lambda k: F.size(F.filter("_at", lambda i: i == k)).cast("long"))
-    df = df.withColumn("_hist", F.concat(counts, F.array(F.col("n_words") - F.size("_at")))).drop("_words", "_at", "common")
+    # a letter for each common word (the others: ''), joined: counting a letter is one pass over short strings
+    letter = F.transform("_words", lambda w: F.substring(F.lit(_LETTERS), F.array_position("common", F.lower(w)).cast("int") + 1, F.lit(1)))
+    df = df.withColumn("_at", F.array_join(letter, "")).withColumn("_at", F.replace("_at", F.lit(_LETTERS[0]), F.lit(""))).drop("common")
+    counts = [(F.length("_at") - F.length(F.replace("_at", F.lit(c), F.lit("")))).cast("long") for c in _LETTERS[1:]]
+    df = df.withColumn("_hist", F.array(*counts, F.col("n_words") - F.length("_at"))).drop("_words", "_at")
     df = C.stored(df, "features")
     sums = lambda column, n: F.array(*(F.sum(F.col(column)[i]) for i in range(n)))
     reference = df.groupBy("lang").agg(sums("_classes", len(_CLASSES) + 2).alias("_ref_classes"), sums("_hist", COMMON + 1).alias("_ref_hist"))

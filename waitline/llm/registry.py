@@ -42,8 +42,8 @@ _QUALITY = rf"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(t
             (SELECT unnest(range(5)) AS j) GROUP BY doc_id),
     tok AS (SELECT doc_id, lang, unnest(ws) AS word FROM d),
     common AS (SELECT * FROM (SELECT lang, lower(word) AS word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, lower(word)) AS k
-               FROM tok WHERE length(word) <= 4 GROUP BY 1, 2) WHERE k <= 24),
-    hit AS (SELECT doc_id, k, count(*) AS n FROM tok JOIN common c ON c.lang = tok.lang AND c.word = lower(tok.word) WHERE length(tok.word) <= 4 GROUP BY 1, 2),
+               FROM tok GROUP BY 1, 2) WHERE k <= 24),
+    hit AS (SELECT doc_id, k, count(*) AS n FROM tok JOIN common c ON c.lang = tok.lang AND c.word = lower(tok.word) GROUP BY 1, 2),
     bins AS (SELECT doc_id, k, n FROM hit UNION ALL
              SELECT f.doc_id, 25, n_words - coalesce(h.n, 0) FROM f LEFT JOIN (SELECT doc_id, sum(n) AS n FROM hit GROUP BY 1) h ON h.doc_id = f.doc_id),
     cls AS (SELECT doc_id, lang, unnest([n_symbols, upper, digits, punct, chars - word_chars, word_chars - n_symbols - upper - digits - punct]) AS n,
@@ -175,7 +175,7 @@ def op11_spelling_variants(spark, sf_dir):
 @_query("op12_hash_tree_shards")
 def op12_hash_tree_shards(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = sharding.placed(docs, sharding.even_tree(16), sharding.even_tree(17))
+    found = sharding.placed(docs, sharding.even_tree(16), sharding.even_tree(17), columns=["doc_id"])
     return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
