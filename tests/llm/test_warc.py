@@ -114,4 +114,57 @@ def test_files_are_plain_warc(spark):
     W.write(spark.createDataFrame([(i, "u", f"page {i}", "", "") for i in range(25)], SCHEMA).coalesce(1), path, records_a_file=10)
     files = glob.glob(f"{path}/part-*")
     assert len(files) == 3
-    assert sum(len(list(W.parsed(open(f, "rb").read()))) for f in files) == 25
+    assert sum(sum(e is None for *_, e in W.parsed(open(f, "rb").read())) for f in files) == 25
+
+
+def _raw(name, body=b"fine"):
+    return W.records_of(name, "u", body, W.digest_of(body), None, 1 << 20)[0] + b"\r\n\r\n"
+
+
+def test_damaged_records_are_told_and_the_others_read(spark, tmp_path):
+    length = b"Content-Length: " + _raw("urn:x").split(b"Content-Length: ")[1].split(b"\r\n")[0]
+    cut = {
+        "word": _raw("urn:bad").replace(length, b"Content-Length: many"),
+        "none": _raw("urn:bad").replace(length + b"\r\n", b""),
+        "large": _raw("urn:bad").replace(length, b"Content-Length: 999999999"),
+        "short": _raw("urn:bad").replace(length, b"Content-Length: 3"),
+        "number": _raw("urn:bad").replace(b"WARC-Date", b"WARC-Segment-Number: x\r\nWARC-Date", 1),
+    }
+    for k, bad in cut.items():
+        (tmp_path / f"{k}.warc").write_bytes(_raw(f"urn:before-{k}") + bad + _raw(f"urn:after-{k}"))
+    (tmp_path / "junk.warc").write_bytes(b"junk" + b"\r\n\r\n" + _raw("urn:after-junk"))
+    (tmp_path / "end.warc").write_bytes(_raw("urn:before-end") + _raw("urn:bad")[:-30])
+    (tmp_path / "head.warc").write_bytes(_raw("urn:before-head") + b"WARC/1.1\r\nWARC-Type: resp")
+    (tmp_path / "empty.warc").write_bytes(b"")
+    rows = W.read(spark, str(tmp_path)).collect()
+    good = [r for r in rows if r.error is None]
+    assert sorted(r.record_id for r in good) == sorted([f"urn:{a}-{k}" for k in cut for a in ("before", "after")] + ["urn:after-junk", "urn:before-end", "urn:before-head"])
+    assert all(bytes(r.payload) == b"fine" for r in good)
+    assert len([r for r in rows if r.record_id == "urn:bad"]) == len(cut) + 1
+    assert len(rows) == len(good) + len(cut) + 3
+
+
+def test_a_damaged_segment_spoils_its_record_only(spark, tmp_path):
+    body = b"0123456789" * 300
+    parts = W.records_of("urn:seg", "u", body, W.digest_of(body), None, 700)
+    parts[1] = parts[1].replace(b"WARC-Segment-Number: 2", b"WARC-Segment-Number: two")
+    got = _read(spark, tmp_path, [parts + W.records_of("urn:ok", "u", body, W.digest_of(body), None, 700)])
+    assert "number" in got["urn:seg"].error and bytes(got["urn:ok"].payload) == body
+
+
+def test_gzip_files(spark, tmp_path):
+    import gzip
+    import random as R
+
+    noise = R.Random(5).randbytes(150_000)
+    records = [_raw(f"urn:{k}", noise if k == 2 else b"body %d" % k) for k in range(5)]
+    (tmp_path / "each.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    (tmp_path / "whole.warc.gz").write_bytes(gzip.compress(b"".join(x.replace(b"urn:", b"urn:w") for x in records)))
+    broken = bytearray(gzip.compress(_raw("urn:lost", noise)))
+    broken[5000:5050] = b"\0" * 50
+    (tmp_path / "broken.warc.gz").write_bytes(gzip.compress(_raw("urn:b")) + bytes(broken) + gzip.compress(_raw("urn:c")))
+    (tmp_path / "cut.warc.gz").write_bytes(gzip.compress(_raw("urn:d")) + gzip.compress(_raw("urn:e"))[:-12])
+    rows = W.read(spark, str(tmp_path)).collect()
+    good = {r.record_id for r in rows if r.error is None}
+    assert {f"urn:{k}" for k in range(5)} | {f"urn:w{k}" for k in range(5)} | {"urn:b", "urn:c", "urn:d"} <= good and "urn:lost" not in good
+    assert any("gzip" in (r.error or "") for r in rows)

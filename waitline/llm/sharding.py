@@ -107,11 +107,12 @@ def numbered(df: DataFrame, shard_col: str, slot_col: str) -> DataFrame:
     return joined.withColumn(slot_col, F.col(start) + F.col(number)).select(*df.columns, slot_col)
 
 
-def placed(docs: DataFrame, tree: Tree, grown: Tree | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with size (bytes of the text and one), text_crc32, law, shard, slot and
+def placed(docs: DataFrame, tree: Tree, grown: Tree | None = None, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (of its columns ``columns``, where given) with size (bytes of the text and one), text_crc32, law, shard, slot and
     grown_shard (the shard in the tree ``grown``; null without one)."""
-    docs = docs.drop(*RESULT)
+    kept = [c for c in docs.columns if (columns is None or c in columns) and c not in RESULT]
+    docs = docs.drop(*({*RESULT} - {id_col, text_col}))
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     own, wide = shard_of(F.col(id_col), tree), F.lit(None).cast("int") if grown is None else shard_of(F.col(id_col), grown)
-    df = docs.select("*", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"), own.alias("shard"), wide.alias("grown_shard"))
+    df = docs.select(*kept, (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"), own.alias("shard"), wide.alias("grown_shard"))
     return numbered(df, "shard", "slot")

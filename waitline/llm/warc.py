@@ -11,8 +11,10 @@ WARC-Segment-Total-Length). Spark's text
 writer writes the files (a record's last four bytes, CRLF CRLF, are its line
 separator), so any store works.
 
-Reading. A file is parsed record by record by its Content-Length. Continuation
-records are grouped with their first one by origin identifier, ordered by
+Reading. A file, plain or gzip (one member or one for each record), is parsed record
+by record by its Content-Length. Where a record does not end where it says, or has
+no usable length, reading goes on at the next record that begins after an empty
+line; a gzip member that is damaged is left at the next one. Continuation records are grouped with their first one by origin identifier, ordered by
 segment number and joined; numbers must be 1, 2, ... n and the length must be
 the total that the last one states. Then the HTTP header is split off, chunked
 transfer framing is decoded, and length and digest are verified. Broken records
@@ -29,6 +31,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -147,62 +150,113 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 # ------------------------------------------------------------ reading
 
 
-def parsed(raw: bytes | memoryview) -> Iterator[tuple[dict[str, str], memoryview]]:
-    """(fields by lower-case name, block) of each record of a file."""
-    raw, at = memoryview(raw), 0
-    whole = bytes(raw) if not isinstance(raw.obj, bytes) else raw.obj
-    while at < len(whole):
-        end = whole.find(_GAP, at)
-        if not whole.startswith(b"WARC/", at) or end < 0:
-            raise ValueError(f"no WARC record at byte {at}")
-        lines = whole[at:end].decode().split("\r\n")[1:]
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        start = end + len(_GAP)
-        stop = start + int(fields["content-length"])
-        if whole[stop : stop + 4] != _GAP:
-            raise ValueError(f"record at byte {at} does not end where it says")
-        yield fields, raw[start:stop]
-        at = stop + 4
+_MAGIC = b"\x1f\x8b\x08"
+
+
+def unzipped(raw: bytes, step: int = 64 << 10) -> tuple[bytes, list[str]]:
+    """The content of gzip members one after the other, and what is wrong."""
+    out, errors, at, view = [], [], 0, memoryview(raw)
+    while at < len(raw):
+        begin, member = at, zlib.decompressobj(31)
+        try:
+            while not member.eof and at < len(raw):
+                out.append(member.decompress(view[at : at + step]))
+                at += step
+            if not member.eof:
+                errors.append("the file ends within a gzip member")
+            at -= len(member.unused_data) + max(0, at - len(raw)) if member.eof else 0
+        except zlib.error as e:
+            errors.append(f"broken gzip member at byte {begin}: {e}")
+            at = raw.find(_MAGIC, begin + 1)
+            if at < 0:
+                break
+    return b"".join(out), errors
+
+
+def _number(x: str | None) -> int | None:
+    """The number that ``x`` states; -1 for none that can be."""
+    if x is None:
+        return None
+    return int(x) if x.isascii() and x.isdigit() and len(x) < 10 else -1
+
+
+def parsed(raw: bytes) -> Iterator[tuple[dict[str, str], memoryview, str | None]]:
+    """(fields by lower-case name, block, what is wrong) of each record of a file."""
+    view, at = memoryview(raw), 0
+    while at < len(raw):
+        after = raw.find(_GAP, at)
+        fields, error, start = {}, None, at
+        if not raw.startswith(b"WARC/", at):
+            error = f"no WARC record at byte {at}"
+            after = at
+        elif after < 0:
+            error, after = f"no end of the header at byte {at}", at
+        else:
+            lines = raw[at:after].decode(errors="replace").split("\r\n")[1:]
+            fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+            start = after + len(_GAP)
+            length = _number(fields.get("content-length"))
+            stop = start + (length or 0)
+            if length is None or length < 0:
+                error = f"no Content-Length of the record at byte {at}"
+            elif raw[stop : stop + 4] != _GAP:
+                error = f"record at byte {at} does not end where it says"
+        if error:
+            stop = raw.find(_GAP + b"WARC/", after)
+            stop = len(raw) if stop < 0 else stop
+        yield fields, view[min(start, stop) : stop], error
+        at = stop + len(_GAP)
 
 
 _RECORD = pa.schema(
-    [("type", pa.string()), ("record_id", pa.string()), ("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("refers_to", pa.string()), ("block", pa.binary())]
+    [("type", pa.string()), ("record_id", pa.string()), ("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("refers_to", pa.string()), ("block", pa.binary()), ("error", pa.string())]
 )
-_RECORD_SQL = "type string, record_id string, origin string, number int, total long, url string, digest string, refers_to string, block binary"
+_RECORD_SQL = "type string, record_id string, origin string, number int, total long, url string, digest string, refers_to string, block binary, error string"
 
 
 def _bare(x: str | None) -> str | None:
     return x.strip("<>") if x else None
 
 
+def _row(f: dict[str, str], block: memoryview, error: str | None) -> tuple:
+    number, total = _number(f.get("warc-segment-number")), _number(f.get("warc-segment-total-length"))
+    if error is None and (number == -1 or total == -1):
+        error = "a segment number or total length that is none"
+    id_ = _bare(f.get("warc-record-id"))
+    origin = _bare(f.get("warc-segment-origin-id")) or (id_ if number else None)
+    return f.get("warc-type"), id_, origin, number, total, f.get("warc-target-uri"), f.get("warc-payload-digest"), _bare(f.get("warc-refers-to")), bytes(block), error
+
+
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows), _RECORD)], schema=_RECORD)
     for batch in batches:
         for content in batch.column(0):
-            rows, size = [], 0
-            for f, block in parsed(content.as_py()):
-                number, total = f.get("warc-segment-number"), f.get("warc-segment-total-length")
-                id_ = _bare(f.get("warc-record-id"))
-                origin = _bare(f.get("warc-segment-origin-id")) or (id_ if number else None)
-                rows.append((f.get("warc-type"), id_, origin, int(number) if number else None, int(total) if total else None, f.get("warc-target-uri"), f.get("warc-payload-digest"), _bare(f.get("warc-refers-to")), bytes(block)))
-                size += len(block)
+            raw, errors = content.as_py(), []
+            if raw.startswith(_MAGIC):
+                raw, errors = unzipped(raw)
+            rows, size = [_row({}, memoryview(b""), e) for e in errors], 0
+            for record in parsed(raw):
+                rows.append(_row(*record))
+                size += len(record[1])
                 if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows), _RECORD)], schema=_RECORD)
+                    yield out(rows)
                     rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows), _RECORD)], schema=_RECORD)
+                yield out(rows)
 
 
 def reassembled(records: DataFrame) -> DataFrame:
     """Whole records of those that ``_reader`` gives: the segments of one origin
     joined in order of their numbers; ``error`` says what is wrong, if anything."""
-    single = records.where("origin IS NULL").drop("origin", "number", "total").withColumn("error", F.lit(None).cast("string"))
+    single = records.where("origin IS NULL").drop("origin", "number", "total")
     first = lambda c: F.max(F.when(F.col("number") == 1, F.col(c))).alias(c)
     parts = F.array_sort(F.collect_list(F.struct("number", "block")))
-    joined = records.where("origin IS NOT NULL").groupBy("origin").agg(*(first(c) for c in ("type", "url", "digest", "refers_to")), F.max("total").alias("total"), F.max("number").alias("last"), parts.alias("parts"))
+    joined = records.where("origin IS NOT NULL").groupBy("origin").agg(*(first(c) for c in ("type", "url", "digest", "refers_to")), F.max("total").alias("total"), F.max("number").alias("last"), F.max("error").alias("error"), parts.alias("parts"))
     # as strings for array_join, which takes their bytes as they are
+    joined = joined.withColumn("last", F.coalesce("last", F.lit(1)))
     joined = joined.withColumn("block", F.array_join(F.transform("parts", lambda x: x["block"].cast("string")), "").cast("binary"))
     numbers = F.transform("parts", lambda x: x["number"])
-    error = F.when(numbers != F.sequence(F.lit(1), F.col("last")), F.lit("segments are missing or repeated")).when(
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(~numbers.eqNullSafe(F.sequence(F.lit(1), F.greatest("last", F.lit(1)))), F.lit("segments are missing or repeated")).when(
         F.col("total").isNull() | (F.col("total") != F.octet_length("block")), F.lit("not the total length that the last segment states")
     )
     return single.unionByName(joined.withColumn("error", error).select("type", F.col("origin").alias("record_id"), "url", "digest", "refers_to", "block", "error"))
