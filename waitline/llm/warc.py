@@ -167,6 +167,7 @@ def unzipped(raw: bytes, step: int = 64 << 10) -> tuple[bytes, list[str]]:
             at -= len(member.unused_data) + max(0, at - len(raw)) if member.eof else 0
         except zlib.error as e:
             errors.append(f"broken gzip member at byte {begin}: {e}")
+            out.append(_GAP)  # the record that is cut ends here
             at = raw.find(_MAGIC, begin + 1)
             if at < 0:
                 break
