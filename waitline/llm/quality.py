@@ -117,8 +117,12 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     df = docs.select(F.col(id_col).alias("id"), F.coalesce(lang_col, F.lit("")).alias("lang"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("_text"))
     df = base_features(_beside(df, common), F.col("_text")).drop("_text")
     # a letter for each common word (the others: ''), joined: counting a letter is one pass over short strings
-    letter = F.transform("_words", lambda w: F.substring(F.lit(_LETTERS), F.array_position("common", F.lower(w)).cast("int") + 1, F.lit(1)))
-    df = df.withColumn("_at", F.array_join(letter, "")).withColumn("_at", F.replace("_at", F.lit(_LETTERS[0]), F.lit(""))).drop("common")
+    # no word shrinks in lower case, so longer ones than the longest common word are none
+    longest = F.array_max(F.transform("common", F.length))
+    able = F.filter("_words", lambda w: F.length(w) <= F.col("_longest"))
+    df = df.withColumn("_longest", longest).withColumn("_able", able).drop("_longest")
+    letter = F.transform("_able", lambda w: F.substring(F.lit(_LETTERS), F.array_position("common", F.lower(w)).cast("int") + 1, F.lit(1)))
+    df = df.withColumn("_at", F.coalesce(F.array_join(letter, ""), F.lit(""))).withColumn("_at", F.replace("_at", F.lit(_LETTERS[0]), F.lit(""))).drop("common", "_able")
     counts = [(F.length("_at") - F.length(F.replace("_at", F.lit(c), F.lit("")))).cast("long") for c in _LETTERS[1:]]
     df = df.withColumn("_hist", F.array(*counts, F.col("n_words") - F.length("_at"))).drop("_words", "_at")
     df = C.stored(df, "features")
