@@ -76,3 +76,16 @@ def test_history_of_one_user_split_and_whole(spark):
 def test_a_share_of_one_takes_every_row(spark):
     assert spark.range(500).where(sampling.in_fraction("id", 1.0)).count() == 500
     assert spark.range(500).where(sampling.in_fraction("id", 0.0)).count() == 0
+
+
+def test_contiguous_folds_are_ntile(spark):
+    from waitline.operators import sampling as SP
+
+    df = spark.range(0, 503).selectExpr("id * 7 AS id").repartition(5)
+    sizes = [126, 126, 126, 125]
+    want, at = {}, 0
+    for fold, n in enumerate(sizes, 1):
+        want |= {7 * i: fold for i in range(at, at + n)}
+        at += n
+    for most in (2_000_000, 40):
+        assert {r.id: r.fold for r in SP.contiguous_folds(df, "id", 4, rows_per_split=most).collect()} == want

@@ -991,6 +991,13 @@ def _predict_classifier(spark, d, estimator, svd_k=None, weighted=False) -> Data
     return out.select(*cols, vector_to_array("rawPrediction")[1].alias("score"))
 
 
+@register("contiguous_folds", "SELECT o_orderkey AS id, ntile(3) OVER (ORDER BY o_orderkey)::INTEGER AS fold FROM orders")
+def contiguous_folds(spark, d):
+    """I4 for regressors: three folds of adjacent questions."""
+    q = proxies.questions(spark, d).select("id")
+    return SP.contiguous_folds(q, "id", 3)
+
+
 @register("svd_project")
 def svd_project(spark, d):
     from pyspark.ml.functions import array_to_vector, vector_to_array
