@@ -14,23 +14,20 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def histogram(df: DataFrame, value: Column, bins: int = 10) -> DataFrame:
     """Fixed-width histogram over [min, max] (D8): ``bin, n``.
 
-    The range is one global min/max aggregate (one row, read as two
-    literals); the bin is ``least(floor((x - lo) * bins / (hi - lo)),
-    bins - 1)`` so the maximum falls in the last bin, as in the plotting
-    library. The count is a partial + final aggregate over ``bins`` keys.
+    One read of ``df``: rows are counted by value (partial + final aggregate: a task
+    sends each of its values once), and both the range, a scalar subquery, and the
+    bins come from these counts through one exchange. The bin is
+    ``least(floor((x - lo) * bins / (hi - lo)), bins - 1)``, so the maximum falls in
+    the last bin, as in the plotting library; equal values are all in bin 0. Null
+    values are left out; no value, no row.
     """
-    x = df.select(value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    row = x.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
-    lo, hi = row["lo"], row["hi"]
-    if lo is None:
-        return x.select(F.lit(0).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    if hi == lo:
-        b = F.lit(0)
-    else:
-        b = F.least(
-            F.floor((F.col("_v") - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo)), F.lit(bins - 1)
-        )
-    return x.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(value.cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_v").isNotNull())
+    # the range reads the counts as well, or pruning them would make the exchanges differ
+    span = counts.where(F.col("_c") > 0).agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("s")).scalar()
+    lo, hi = span.getField("lo"), span.getField("hi")
+    at = F.floor((F.col("_v") - lo) * F.lit(bins) / (hi - lo))
+    b = F.when(lo == hi, F.lit(0)).otherwise(F.least(at, F.lit(bins - 1)))
+    return counts.select(b.cast("int").alias("bin"), "_c").groupBy("bin").agg(F.sum("_c").alias("n"))
 
 
 def bin_edges(lo: float, hi: float, bins: int) -> list[float]:

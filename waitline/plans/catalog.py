@@ -849,6 +849,22 @@ def random_baseline(spark, d):
     return _round_report(EV.classification_report(g, "label", "prediction"))
 
 
+@register(
+    "permuted_baseline",
+    _duck_report(
+        f"""WITH s AS (SELECT doc_id, quality AS label FROM documents JOIN labels USING (doc_id)),
+            t AS (SELECT label, row_number() OVER (ORDER BY doc_id, label) AS pos FROM s),
+            g AS (SELECT label AS prediction, row_number() OVER (
+                      ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{GUESS_SEED}'), doc_id, label) AS pos FROM s)
+            SELECT label, prediction FROM t JOIN g USING (pos)"""
+    ),
+)
+def permuted_baseline(spark, d):
+    s = _scored(spark, d).select("doc_id", "label")
+    g = EV.permuted_guess(s, "label", "doc_id", GUESS_SEED)
+    return _round_report(EV.classification_report(g, "label", "prediction"))
+
+
 @register(
     "roc_curve",
     f"""WITH c AS (SELECT score AS threshold, count(*) FILTER (WHERE label = 1) AS pos,
