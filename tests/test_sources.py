@@ -176,17 +176,6 @@ def test_numeric_entities(spark):
     assert got == "AB’ &lt; &#65; &#0;&#xD800; \U0001f642\U0001f642 <"
 
 
-def test_used_settings_are_honest():
-    import warnings
-
-    from waitline.plans.tuning import used_settings
-
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        got = used_settings([{"depth": d, "C": 1} for d in (10, 30, 40, 60)])
-    assert got == [{"depth": 10, "C": 1}, {"depth": 30, "C": 1}]
-
-
 def test_badge_success_normalises_between_svd_and_forest():
     from pyspark.ml.feature import Normalizer
 

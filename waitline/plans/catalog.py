@@ -1065,6 +1065,16 @@ def model_rf_reg(spark, d):
     return out.select("id", "label", "prediction")
 
 
+@register("model_rf_unlimited")
+def model_rf_unlimited(spark, d):
+    """Random forest of the wait whose trees have no depth limit."""
+    df = _time_rows(spark, d).withColumn("label", F.col("elapsed"))
+    train, test = _split(df, "id")
+    spec = MD.ModelSpec("time_forest_unlimited", _time_blocks(), MD.forest_regressor(10, None))
+    out = spec.fit(train).transform(test)
+    return out.select("id", "label", "prediction")
+
+
 @register("model_linear_time")
 def model_linear_time(spark, d):
     """Linear regression on log10(wait), predictions mapped back by 10**x."""

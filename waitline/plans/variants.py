@@ -184,11 +184,10 @@ VARIANTS: dict[str, Variant] = {
         svd=True,
         label="log_elapsed",
     ),
-    # trees without a depth limit there; MLlib's limit here
     "combined_forest_time": Variant(
         "combined_forest_time",
         {"title": _title(), "paragraphs": _paragraphs(), "tags": _tags()},
-        lambda p, n: MD.forest_regressor(30, MD.MAX_TREE_DEPTH),
+        lambda p, n: MD.forest_regressor(30, None),
         {
             "title.max_df": [0.6], "title.min_df": [2],
             "paragraphs.max_df": [0.6], "paragraphs.min_df": [8], "paragraphs.ngram_max": [1],
