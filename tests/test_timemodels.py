@@ -1,0 +1,48 @@
+"""M14 from an XML dump to three errors, on its own blocks."""
+
+from datetime import timedelta
+
+from fixtures import at
+from pyspark.sql import functions as F
+from test_snapshot import NAMES, _xml
+
+from waitline.plans import snapshot, timemodels
+from waitline.plans.variants import VARIANTS
+from waitline.sources.files import read_stage
+
+KINDS = (("crash on startup", "<c#>", 20), ("sort a list", "<python><list>", 200), ("join two tables", "<sql>", 1000))
+
+
+def _posts(n):
+    """Waits that follow from the kind of question, a few minutes apart."""
+    out = []
+    for i in range(n):
+        title, tags, wait = KINDS[i % 3]
+        out.append((i, 1, None, 1000 + i, at(1), 100 + i, tags, f"<p>Why {title}?</p><p>case {i % 5}</p>", title))
+        out.append((1000 + i, 2, i, None, at(1) + timedelta(minutes=wait + i % 4), 7, None, "<p>so</p>", None))
+    return out
+
+
+def test_published_blocks():
+    blocks = timemodels.published_blocks()
+    assert list(blocks) == ["title", "paragraphs", "tags"]
+    assert (blocks["title"].min_df, blocks["paragraphs"].min_df, blocks["tags"].max_df) == (2, 8, 0.6)
+    assert blocks["paragraphs"].kind == "lemmas" and VARIANTS["combined_forest_time"].grid["svd_k"] == [timemodels.SVD_K]
+
+
+def test_dump_to_errors(spark, tmp_path):
+    dump = tmp_path / "dump"
+    dump.mkdir()
+    (dump / "Posts.xml").write_text(_xml(_posts(90), NAMES, "posts"))
+    (dump / "Badges.xml").write_text(_xml([(1, 100, "Student", at(0))], ("Id", "UserId", "Name", "Date"), "badges"))
+    paths = snapshot.run(spark, str(dump), str(tmp_path / "out"), "2016-01-01", min_support=1)
+    rows = read_stage(spark, paths["combined_time"], "2016-01-01")
+    assert {"title", "paragraphs", "tags", "elapsed", "id"} <= set(rows.columns) and rows.count() == 90
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    # a wait of nothing has no logarithm, one that is null no error
+    more = rows.unionByName(rows.limit(2).withColumn("elapsed", F.when(F.col("id") % 2 == 0, 0).cast(rows.schema["elapsed"].dataType)))
+    found = {r.variant: r for r in timemodels.evaluate(more, svd_k=5, trees=4, depth=None).collect()}
+    assert sorted(found) == ["forest", "linear", "linear_log10"] and len({r.n for r in found.values()}) == 1
+    plain = rows.select(F.avg(F.abs(F.col("elapsed") - F.lit(407)))).first()[0]
+    assert all(r.mae < 0.1 * plain for r in found.values())
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before

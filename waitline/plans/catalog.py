@@ -975,6 +975,7 @@ def typed_rows(spark, d):
 
 from . import models as MD  # noqa: E402
 from . import tuning as TU  # noqa: E402
+from . import timemodels as TIMES  # noqa: E402
 
 SVD_K = 8
 
@@ -1123,36 +1124,8 @@ def cv_topk(spark, d):
     return TU.top_k(res, 3)
 
 
-# components of the time models' SVD, as in the reference
-TIME_SVD_K = 100
-
-
-def time_model_stages() -> list:
-    """Union and SVD of the time models. Title, and badges in place of paragraphs
-    and tags: the proxy questions have neither."""
-    return [*MD.union_stages(_time_blocks(), out="features_raw"), MD.TruncatedSvd("features_raw", "features", TIME_SVD_K)]
-
-
 @register("time_model_eval")
 def time_model_eval(spark, d):
-    """Three regressors of the wait over one half split, MAE each:
-    linear on raw minutes, linear on log10 minutes mapped back by 10**x, and
-    a random forest of unlimited depth (MLlib's largest) on raw minutes, each on
-    the union's truncated SVD. Output ``variant, mae, n``."""
-    train, test = SP.train_test_split(_time_rows(spark, d), "id", 0.5, SEED)
-    fitted = MD.fit_staged(time_model_stages(), train)
-    train, test = (fitted.transform(x).select("elapsed", "features").persist() for x in (train, test))
-    out = None
-    for name, est, target in (
-        ("linear", MD.linear_regression(), "raw"),
-        ("linear_log10", MD.linear_regression(), "log10"),
-        ("forest", MD.forest_regressor(30, MD.MAX_TREE_DEPTH), "raw"),
-    ):
-        lab = F.col("elapsed") if target == "raw" else F.log10("elapsed")
-        pred = est.fit(train.withColumn("label", lab)).transform(test)
-        if target == "log10":
-            pred = pred.withColumn("prediction", F.pow(F.lit(10.0), "prediction"))
-        m = EV.mean_absolute_error(pred, "elapsed", "prediction")
-        m = m.select(F.lit(name).alias("variant"), "mae", "n")
-        out = m if out is None else out.unionByName(m)
-    return out
+    """M14 on title, and badges in place of paragraphs and tags: the proxy questions
+    have neither. The forest is MLlib's deepest."""
+    return TIMES.evaluate(_time_rows(spark, d), _time_blocks(), seed=SEED, depth=MD.MAX_TREE_DEPTH)
