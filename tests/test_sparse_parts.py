@@ -1,0 +1,26 @@
+"""Work on vectors goes by their entries, a bounded number at a time."""
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from waitline.plans import models as MD
+from waitline.plans import projection as PR
+
+
+def test_size_and_last_make_no_dense_list(spark, tmp_path, monkeypatch):
+    rows = [(0, Vectors.sparse(5, [1, 4], [2.0, 3.0])), (1, Vectors.sparse(5, [1], [2.0])), (2, Vectors.sparse(5, [], [])), (3, Vectors.dense([1.0, 7.0])), (4, Vectors.sparse(5, [4], [float("nan")]))]
+    df = spark.createDataFrame(rows, ["id", "v"])
+    size, last = MD.size_and_last("v")
+    a = vector_to_array("v")
+    got = df.select("id", size.alias("s"), last.alias("l"), F.size(a).alias("s2"), F.element_at(a, -1).alias("l2")).collect()
+    assert all(r.s == r.s2 and (r.l == r.l2 or (np.isnan(r.l) and np.isnan(r.l2))) for r in got) and len(got) == 5
+    d = spark.createDataFrame([(i, f"aa bb w{i % 3} w{i % 3}", 10 + i) for i in range(12)], "doc_id long, text string, n_chars int")
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    monkeypatch.setattr("pyspark.ml.functions.vector_to_array", None)  # makes lists of the vocabulary's length
+    out = E.queries()["numeric_append"](spark, str(tmp_path))
+    assert {(r.doc_id, r.size, r.last) for r in out.collect()} == {(i, 4, 10.0 + i) for i in range(12)}
