@@ -24,3 +24,14 @@ def test_size_and_last_make_no_dense_list(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("pyspark.ml.functions.vector_to_array", None)  # makes lists of the vocabulary's length
     out = E.queries()["numeric_append"](spark, str(tmp_path))
     assert {(r.doc_id, r.size, r.last) for r in out.collect()} == {(i, 4, 10.0 + i) for i in range(12)}
+
+
+def test_batches_are_cut_by_entries(monkeypatch):
+    monkeypatch.setattr(PR, "SLICE", 8)
+    kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    rows = [{"type": 0, "size": 9, "indices": list(range(k % 5)), "values": [float(k)] * (k % 5)} for k in range(40)]
+    b = pa.RecordBatch.from_arrays([pa.array(rows, kind), pa.array(np.arange(40.0))], names=["x", "y"])
+    cut = list(PR._slices([b, b.slice(0, 0)]))
+    assert sum(c.num_rows for c in cut) == 40 and len(cut) >= 10
+    whole = [PR._batch_rows(c.column(0), 9) for c in cut]
+    assert np.array_equal(np.concatenate([w[2] for w in whole]), PR._batch_rows(b.column(0), 9)[2])
